@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, mixing, sharding, simple8b
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to Simple-8b files in order of doc_id and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simple8b.encode_table(docs, bpe.load_spec(public_tokenizers.path("word_bpe_49k.json")), end_id=2)
+
+
+#: Weights of the sources, in turn.
+WEIGHTS = [3, 1, 2]
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, WEIGHTS).select("doc_id", "mixed.size", "mixed.source_size", "mixed.target", "mixed.taken")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,5 +45,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op4_bpe": op4_bpe}
-ORACLES: dict[str, str] = {}
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), shards=8).drop("source")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_simple8b": op1_simple8b,
+    "op3_mixing": op3_mixing,
+    "op4_bpe": op4_bpe,
+    "op6_sharding": op6_sharding,
+}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.sql(WEIGHTS)}
