@@ -46,3 +46,25 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     leaves = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "vertex")
     roots = now.select(F.col("b").alias("vertex")).distinct().withColumn("component", F.col("vertex"))
     return leaves.unionByName(roots)
+
+
+def classes(rows: DataFrame, named: DataFrame, checked: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Per row: its id, class_id (least id that links reach) and n_links (other rows linked directly).
+
+    rows has the id and the vertex of every row (null: links with nothing), named (vertex, rep: its least id,
+    copies: its rows), checked (vertex, links, a, b): links counted in copies, possibly in several parts, and a link
+    between the ids a and b that, with the others, joins what is linked. Rows of one id with several vertices are one
+    thing and share a class.
+    """
+    links = checked.groupBy("vertex").agg(F.sum("links").alias("links"))
+    known = rows.where(F.col("vertex").isNotNull() & F.col(id_column).isNotNull())
+    moved = known.join(named, "vertex").where(F.col(id_column) != F.col("rep")).groupBy(F.col(id_column).alias("a")).agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
+    own = known.join(named, "vertex").where(F.col(id_column) == F.col("rep")).select(F.col(id_column).alias("a")).distinct().withColumn("own", F.lit(True))
+    # an id with several vertices ties their least ids together; one with a single vertex adds nothing
+    several = moved.join(own, "a", "left").where("lo <> hi or own")
+    tied = several.select("a", F.col("lo").alias("b")).unionByName(several.select("a", F.col("hi").alias("b")))
+    found = components(checked.where("a <> b").select("a", "b").unionByName(tied)).withColumnRenamed("vertex", "rep")
+    per_vertex = named.join(links, "vertex", "left").join(found, "rep", "left")
+    per_vertex = per_vertex.select("vertex", F.coalesce("component", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = rows.select(id_column, F.when(F.col(id_column).isNotNull(), F.col("vertex")).alias("vertex")).join(per_vertex, "vertex", "left")
+    return out.select(id_column, F.coalesce("class_id", id_column).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

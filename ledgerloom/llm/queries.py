@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simple8b
+from . import bpe, itq, jaccard_join, mixing, sharding, simple8b
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +50,22 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), shards=8).drop("source")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and number of links of every embedding."""
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_itq": op10_itq,
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.sql(WEIGHTS)}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.sql(WEIGHTS), "op9_jaccard_join": jaccard_join.sql(), "op10_itq": itq.sql()}
