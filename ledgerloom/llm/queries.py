@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, itq, jaccard_join, mixing, sharding, simple8b
+from . import bpe, itq, jaccard_join, mixing, sharding, simple8b, vptree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows nearest to each row whose vec_id is divisible by 20."""
+    return vptree.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), shards=8).drop("source")
@@ -64,8 +69,14 @@ QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
+    "op5_vptree": op5_vptree,
     "op6_sharding": op6_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_itq": op10_itq,
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.sql(WEIGHTS), "op9_jaccard_join": jaccard_join.sql(), "op10_itq": itq.sql()}
+ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.sql(WEIGHTS),
+    "op5_vptree": vptree.sql(),
+    "op9_jaccard_join": jaccard_join.sql(),
+    "op10_itq": itq.sql(),
+}
