@@ -175,8 +175,8 @@ class WordTokenizer:
     Latin text is cut here by the same rules; any text with other characters goes through the whole library.
     """
 
-    #: Pieces kept per worker; when full, the store is emptied, which costs time and changes no result.
-    CACHE_PIECES = 1_500_000
+    #: Entries of each store of a worker; a full one is emptied, which costs time and changes no result.
+    CACHE_PIECES = 600_000
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -191,9 +191,9 @@ class WordTokenizer:
         letters = byte_letters()
         self.letters = {chr(b): letters[b] for b in range(128)}
         self.all_letters = letters
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         #: Characters for which this class doesn't cut text itself, and openings of special tokens.
         self.other = re.compile("[^\t-\r -ſ]|[\x7f-\xbf]|<\\|")
         self.pattern = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+|[0-9]|[^\\sa-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+")
@@ -210,45 +210,41 @@ class WordTokenizer:
         pattern = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
         return kinds == ["NFC", "Replace", "Lowercase"] and len(cut) == 2 and cut[0].get("pattern", {}).get("Regex") == pattern and not any(t["lstrip"] or t["rstrip"] or not t["content"].startswith("<|") for t in data["added_tokens"])
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             spelt = word if word.isascii() else "".join(self.all_letters[b] for b in word.encode())
-            ids = self.words[word] = tuple(t.id for t in self.model.tokenize(spelt))
+            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
         return ids
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         if piece.isalpha():
             ids = self._word(piece)
         elif piece[:-1].isalpha() and piece[-1] in ".,;:!?":
             ids = self._word(piece[:-1]) + self._word(piece[-1])
         else:
-            ids = tuple(x for w in self.pattern.findall(piece) for x in self._word(w))
+            ids = b"".join(map(self._word, self.pattern.findall(piece)))
         self.known[piece] = ids
         return ids
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        ids = self.chunks[chunk] = tuple(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+    def _chunk(self, chunk: str) -> bytes:
+        ids = self.chunks[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of one text."""
         for store in (self.known, self.words, self.chunks):
             if len(store) > self.CACHE_PIECES:
                 store.clear()
         if not self.plain_ok:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if self.other.search(text) is None:
-            get = self.known.get
-            for piece in text.lower().split():
-                ids = get(piece)
-                out += self._piece(piece) if ids is None else ids
+            get, make = self.known.get, self._piece
+            parts = text.lower().split()
         else:
-            for chunk in re.split("[\t-\r ]+", text):
-                if chunk:
-                    ids = self.chunks.get(chunk)
-                    out += self._chunk(chunk) if ids is None else ids
-        return out
+            get, make = self.chunks.get, self._chunk
+            parts = [x for x in re.split("[\t-\r ]+", text) if x]
+        return np.frombuffer(b"".join([get(x) or make(x) for x in parts]), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
@@ -262,21 +258,18 @@ def write_ids(df: DataFrame, spec: str, end_id: int, path: str) -> None:
     small_batches(df.sparkSession)
 
     def segments(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gc
-
-        gc.disable()
         tokenizer = _word_tokenizer(spec)
+        end = np.array([end_id], dtype="<u4")
         docs: list[int] = []
         counts: list[int] = []
         held: list[np.ndarray] = []
         total = 0
         for part in parts:
             for doc_id, text in zip(part["doc_id"].tolist(), part["text"].tolist(), strict=True):
-                ids = tokenizer.encode(text) if text else []
-                ids.append(end_id)
-                docs.append(NO_ID if doc_id is None else int(doc_id))
+                ids = np.append(tokenizer.encode(text) if text else end, end[: 1 if text else 0])
+                docs.append(int(doc_id))
                 counts.append(len(ids))
-                held.append(np.array(ids, dtype=np.uint64))
+                held.append(ids)
                 total += len(ids)
                 if total >= SEGMENT_IDS:
                     yield pd.DataFrame({"segment": [pack_segment(docs, counts, np.concatenate(held))]})
