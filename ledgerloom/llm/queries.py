@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, itq, jaccard_join, mixing, sharding, simple8b, vptree
+from . import bpe, itq, jaccard_join, mixing, sharding, simple8b, vptree, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), shards=8).drop("source")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all pages, written to archives and read back."""
+    records = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,12 +77,14 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_vptree": op5_vptree,
     "op6_sharding": op6_sharding,
+    "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_itq": op10_itq,
 }
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.sql(WEIGHTS),
     "op5_vptree": vptree.sql(),
+    "op8_warc": warc.sql(),
     "op9_jaccard_join": jaccard_join.sql(),
     "op10_itq": itq.sql(),
 }
