@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, itq, jaccard_join, mixing, sharding, simple8b, vptree, warc
+from . import bpe, itq, jaccard_join, language_id, mixing, sharding, simple8b, toxicity, vptree, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,15 @@ def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.encode_table(docs, bpe.load_spec(public_tokenizers.path("word_bpe_49k.json")), end_id=2)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt where crc32 of doc_id isn't divisible by 5."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    away = language_id.held_out("doc_id", 5, 0)
+    model = language_id.fit(docs, ~away)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", away.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.ambiguous")
+
+
 #: Weights of the sources, in turn.
 WEIGHTS = [3, 1, 2]
 
@@ -55,6 +64,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), shards=8).drop("source")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels where crc32 of doc_id modulo 3 isn't 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    away = language_id.held_out("doc_id", 3, 1)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~away)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", away.alias("held_out"), "toxicity.score", "toxicity.predicted", "toxicity.evidence")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of all pages, written to archives and read back."""
     records = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -73,10 +91,12 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op5_vptree": op5_vptree,
     "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_itq": op10_itq,
