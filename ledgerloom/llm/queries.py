@@ -42,10 +42,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, WEIGHTS).select("doc_id", "mixed.size", "mixed.source_size", "mixed.target", "mixed.taken")
 
 
-def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids and decoded text of every document, as digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+def bpe_digests(done: DataFrame) -> DataFrame:
+    """Number and digest of ids, and digest of decoded text, of a table with ids and decoded."""
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -54,6 +52,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 rows nearest to each row whose vec_id is divisible by 20."""
     return vptree.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
