@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..storage import settle
 
 GRAM = 6
 
@@ -37,8 +38,8 @@ def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -
 
 def alike(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:
     """(l_name, r_name, score) of distinct names of left (name) and right (name) with a score of at least threshold."""
-    a = left.where("name is not null").select(F.col("name").alias("l_name")).distinct()
-    b = right.where("name is not null").select(F.col("name").alias("r_name")).distinct()
+    a = settle(left.where("name is not null").select(F.col("name").alias("l_name")).distinct())  # read many times below
+    b = settle(right.where("name is not null").select(F.col("name").alias("r_name")).distinct())
     a_grams, b_grams = _grams(a, "l_name"), _grams(b, "r_name")
     count = lambda g: g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     a_short = _anchors(a, "l_name", threshold, count(b_grams)).join(b_grams, "gram").select("l_name", "r_name")

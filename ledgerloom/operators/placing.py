@@ -18,8 +18,8 @@ TOP, SIZES = 20, 5
 
 def equal(left: DataFrame, right: DataFrame) -> DataFrame:
     """(l_id, r_id, l_amount, r_amount, share): rows of equal placing number."""
-    asks = left.where((F.length("placing") > 0) & F.col("amount").isNotNull()).select("l_id", "placing", F.col("amount").alias("l_amount"))
-    return asks.join(right.select("r_id", "placing", F.col("amount").alias("r_amount")), "placing").select("l_id", "r_id", "l_amount", "r_amount", F.lit(None).cast("double").alias("share"), F.lit(None).cast("string").alias("note"))
+    asks = left.where((F.length("placing_no") > 0) & F.col("amount").isNotNull()).select("l_id", "placing_no", F.col("amount").alias("l_amount"))
+    return asks.join(right.select("r_id", "placing_no", F.col("amount").alias("r_amount")), "placing_no").select("l_id", "r_id", "l_amount", "r_amount", F.lit(None).cast("double").alias("share"), F.lit(None).cast("string").alias("note"))
 
 
 def inside(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -28,8 +28,8 @@ def inside(left: DataFrame, right: DataFrame) -> DataFrame:
     A text that covers 80 % of a longer one covers the 8 characters from len - max(10, ceil(0.8 len)) on. So the
     longer one offers this gram alone, the shorter one all its grams, and an equi-join finds every pair.
     """
-    asks = left.where((F.length("placing") >= LENGTH) & F.col("amount").isNotNull()).join(right.select("placing").distinct(), "placing", "left_anti").select("l_id", F.col("placing").alias("lp"), F.col("amount").alias("l_amount"))
-    has = right.where(F.length("placing") >= LENGTH).select("r_id", F.col("placing").alias("rp"), F.col("amount").alias("r_amount"))
+    asks = left.where((F.length("placing_no") >= LENGTH) & F.col("amount").isNotNull()).join(right.select("placing_no").distinct(), "placing_no", "left_anti").select("l_id", F.col("placing_no").alias("lp"), F.col("amount").alias("l_amount"))
+    has = right.where(F.length("placing_no") >= LENGTH).select("r_id", F.col("placing_no").alias("rp"), F.col("amount").alias("r_amount"))
 
     def anchor(c: str):
         n = F.length(c)

@@ -37,7 +37,7 @@ CLEAN_SQL = f"""
 left_ledger as ({LEFT.replace("{S}", "varchar")}),
 right_ledger as ({RIGHT.replace("{S}", "varchar")}),
 l as (
-  select l_id, regexp_replace(upper(PlacingNo), '[^A-Z0-9]', '', 'g') as placing,
+  select l_id, regexp_replace(upper(PlacingNo), '[^A-Z0-9]', '', 'g') as placing_no,
     case when PolicyNo is null then [] when len(PolicyNo) - len(replace(PolicyNo, '/', '')) > 1
       then list_transform(regexp_split_to_array(trim(PolicyNo), '\\s+'), lambda w: regexp_replace(w, '[^a-zA-Z0-9]', '', 'g'))
       when regexp_full_match(trim(PolicyNo), '\\d+') then [trim(PolicyNo)]
@@ -45,7 +45,7 @@ l as (
     upper(trim(ClientName)) as name, Amount as amount
   from left_ledger
 ), r as (
-  select r_id, regexp_replace(upper(PlacingNo), '[^A-Z0-9]', '', 'g') as placing,
+  select r_id, regexp_replace(upper(PlacingNo), '[^A-Z0-9]', '', 'g') as placing_no,
     split_part(PolicyNo_1, '.', 1) as policy_1, PolicyNo_2 as policy_2, upper(trim(ClientName)) as name, Amount as amount
   from right_ledger
 )"""
@@ -61,14 +61,14 @@ def raw_ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def clean_left(left: DataFrame) -> DataFrame:
-    """l_id, placing, tokens, name and amount of the left ledger (l_id, PlacingNo, PolicyNo, ClientName, Amount)."""
-    return left.select("l_id", S.clean_key(F.col("PlacingNo")).alias("placing"), S.policy_tokens(F.col("PolicyNo")).alias("tokens"), S.clean_name(F.col("ClientName")).alias("name"), F.col("Amount").cast(S.AMOUNT).alias("amount"))
+    """l_id, placing_no, tokens, name and amount of the left ledger (l_id, PlacingNo, PolicyNo, ClientName, Amount)."""
+    return left.select("l_id", S.clean_key(F.col("PlacingNo")).alias("placing_no"), S.policy_tokens(F.col("PolicyNo")).alias("tokens"), S.clean_name(F.col("ClientName")).alias("name"), F.col("Amount").cast(S.AMOUNT).alias("amount"))
 
 
 def clean_right(right: DataFrame) -> DataFrame:
-    """r_id, placing, policy_1, policy_2, name and amount of the right ledger."""
+    """r_id, placing_no, policy_1, policy_2, name and amount of the right ledger."""
     return right.select(
-        "r_id", S.clean_key(F.col("PlacingNo")).alias("placing"), S.before_dot(F.col("PolicyNo_1")).alias("policy_1"), F.col("PolicyNo_2").alias("policy_2"),
+        "r_id", S.clean_key(F.col("PlacingNo")).alias("placing_no"), S.before_dot(F.col("PolicyNo_1")).alias("policy_1"), F.col("PolicyNo_2").alias("policy_2"),
         S.clean_name(F.col("ClientName")).alias("name"), F.col("Amount").cast(S.AMOUNT).alias("amount"),
     )
 
