@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import claims, matrix, names, naming, placing, policy, report
 from ..sources import ingest
+from ..storage import settle
 from . import ledgers as L
 from . import reconcile as R
 
@@ -244,7 +245,7 @@ def p1_substring(spark, sf_dir):
 
 
 def _top(spark, sf_dir):
-    found = placing.candidates(*L.ledgers(spark, sf_dir))
+    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
     return placing.top(found, placing.single(found))
 
 
@@ -263,20 +264,21 @@ def p1_combo(spark, sf_dir):
 @query(f"{CAND} select l_id, r_id from loose")
 def p1_partial(spark, sf_dir):
     """Partial candidates."""
-    found = placing.candidates(*L.ledgers(spark, sf_dir))
+    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
     offers, links, _ = placing.offers(found)
     return links.join(offers.where("kind = 2").select("l_id"), "l_id", "left_semi")
 
 
 def _pass1(spark, sf_dir, *passes):
     left, right = L.ledgers(spark, sf_dir)
+    left, right = settle(left), settle(right)
     return left, right, R.reconcile(left, right, R.Profile(passes=passes or ("1",)))
 
 
 @query(f"{CAND} select l_id, r_id from own")
 def p1_claims(spark, sf_dir):
     """Which left row owns which right row after pass 1."""
-    found = placing.candidates(*L.ledgers(spark, sf_dir))
+    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
     offers, links, _ = placing.offers(found)
     return claims.owners(offers, links)
 
@@ -329,7 +331,8 @@ def p2_decisions(spark, sf_dir):
 
 def _pairs(spark, sf_dir):
     left, right = L.ledgers(spark, sf_dir)
-    return left, right, names.alike(left, right)
+    left, right = settle(left), settle(right)
+    return left, right, settle(names.alike(left, right))
 
 
 @query(f"{PAIRS} select * from pairs")
@@ -385,10 +388,10 @@ select rule_id, lk.l_id, rk.r_id from rules join lk on rules.rule_id = lk.l_id j
 def matrix_match(spark, sf_dir):
     """Rules between left rows and the right rows made of them."""
     left, right = L.raw_ledgers(spark, sf_dir)
-    l_keys, r_keys = matrix.keyed(left, "l_id", KEYS), matrix.keyed(right, "r_id", R_KEYS)
+    l_keys, r_keys = settle(matrix.keyed(left, "l_id", KEYS)), settle(matrix.keyed(right, "r_id", R_KEYS))
     own = l_keys.where("l_id % 40 = 0").withColumn("r_id", F.col("l_id") * 10).join(r_keys.withColumnRenamed("key", "r_key"), "r_id")
     rules = own.select(F.col("l_id").alias("rule_id"), F.concat("key", F.lit("|"), "r_key").alias("rule"))
-    l_rows, r_rows = matrix.matches(rules, l_keys, r_keys)
+    l_rows, r_rows = matrix.matches(settle(rules), l_keys, r_keys)
     return l_rows.join(r_rows, "rule_id")
 
 
