@@ -108,6 +108,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.sql(WEIGHTS),
     "op5_vptree": vptree.sql(),
+    "op6_sharding": sharding.sql(),
     "op8_warc": warc.sql(),
     "op9_jaccard_join": jaccard_join.sql(),
     "op10_itq": itq.sql(),

@@ -67,3 +67,37 @@ def interleave(df: DataFrame, shards: int = 8, seed: str = "shard", doc_id: str
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         (F.col("place") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+def crc_table() -> list[int]:
+    """The 256 numbers of crc32, from its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 if c & 1 else c >> 1
+        out.append(c)
+    return out
+
+
+def sql(shards: int = 8, seed: str = "shard") -> str:
+    """The same over a table documents, as SQL for DuckDB; crc32 is written out, byte by byte."""
+    return f"""
+with h as (
+  select doc_id, source, coalesce(text, '') as body, hex(encode(coalesce(text, ''))) as h,
+    md5('{seed}:' || coalesce(cast(doc_id as varchar), 'null')) || md5(coalesce(text, '')) as key from documents
+), b as (
+  select *, list_prepend(4294967295::bigint, list_transform(range(1, length(h) + 1, 2), lambda i: ('0x' || substr(h, i, 2))::bigint)) as b from h
+), t as (
+  select {crc_table()}::bigint[] as tb
+), c as (
+  select doc_id, source, key, cast(length(h) // 2 + 1 as bigint) as size,
+    xor(list_reduce(b, lambda a, x: xor(a >> 8, tb[1 + (xor(a, x) & 255)])), 4294967295) as text_crc32 from b, t
+), r as (
+  select *, row_number() over (partition by source order by key) - 1 as rank, count(*) over (partition by source) as n, count(*) over () as total from c
+), p as (
+  select *, row_number() over (order by (2 * rank + 1) / (2 * n), key) - 1 as place from r
+)
+select doc_id, size, text_crc32, 'rows' as law, cast(place * {shards} // total as integer) as shard,
+  cast(place - ((place * {shards} // total) * total + {shards - 1}) // {shards} as bigint) as slot, cast(null as integer) as grown_shard
+from p
+"""
