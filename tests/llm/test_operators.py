@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from functools import reduce
 
 import numpy as np
 import public_tokenizers
@@ -91,7 +92,7 @@ def test_bpe_is_the_librarys(spark):
     assert all(list(own.merge(w)) == np.frombuffer(own.known_words[w], np.int32).tolist() for w in words)
     docs = odd_documents(spark)
     for r in bpe.round_trip(docs, path).collect():
-        assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids and r.decoded == (r.text or "") and r.size is None or r.size in (0, 1)
+        assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids and r.decoded == (r.text or "")
     assert bpe.round_trip(docs.limit(0), path).count() == 0
 
 
@@ -136,7 +137,8 @@ def test_sharding(spark):
     rng = random.Random(4)
     docs = documents(spark, ["x" * rng.randint(0, 9) for _ in range(1003)], [rng.choice(["a", "a", "b", None]) for _ in range(1003)])
     rows = sharding.interleave(docs, 8).collect()
-    assert rows == sharding.interleave(docs.repartition(3), 8).orderBy("shard", "slot").collect() or sorted(rows) == sorted(sharding.interleave(docs.repartition(3), 8).collect())
+    again = sharding.interleave(docs.repartition(3), 8).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
     by = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(8)}
     assert {len(v) for v in by.values()} == {125, 126} and all(v == list(range(len(v))) for v in by.values())
     for source in ("a", "b", None):
@@ -176,7 +178,7 @@ def test_vantage_point_trees(spark, scale, shard_rows, block):
     y = x.astype(float)
     assert sorted(found) == list(range(0, 400, 20))
     for q in found:
-        score = [sum(a * b for a, b in zip(y[q].tolist(), v.tolist(), strict=True)) for v in y]
+        score = [reduce(lambda s, ab: s + ab[0] * ab[1], zip(y[q].tolist(), v.tolist(), strict=True), 0.0) for v in y]  # sum() compensates
         want = sorted((i for i in range(400) if i != q), key=lambda i: (-score[i], i))[:20]
         assert [found[q][k + 1][0] for k in range(20)] == want
         assert [found[q][k + 1][1] for k in range(20)] == [score[i] for i in want]
@@ -273,7 +275,7 @@ def test_jaccard_join_defined_cases(spark):
     rows = jaccard_join.join(odd).collect()
     assert len(rows) == odd.count()
     assert [(r.class_id, r.n_links) for r in rows if r.doc_id is None] == [(None, 0)]
-    assert sorted(r.n_links for r in rows if r.doc_id == 5) == [0, 2, 2] and {r.class_id for r in rows if r.doc_id == 5} == {5}
+    assert sorted(r.n_links for r in rows if r.doc_id == 5) == [0, 2, 2, 2] and {r.class_id for r in rows if r.doc_id == 5} == {5}
     kept = [r.doc_id for r in jaccard_join.keep_one(odd).collect()]
     assert sorted(k for k in kept if k is not None) == list(range(9)) and kept.count(None) == 1
     assert jaccard_join.join(odd.limit(0)).count() == 0
