@@ -2,7 +2,8 @@
 
 A partial ratio of at least t % with a shorter name of n letters leaves at most k = n - ceil(t n / 100) letters
 unmatched, so of k + 1 stretches of the shorter name one is whole inside the longer name. Each stretch offers its
-rarest gram, the longer name all its grams, and an equi-join finds all candidates; only those are scored.
+rarest gram, the longer name all its grams, and an equi-join finds all candidates. Those that share too few grams for
+k letters go without Python; the rest are scored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def _grams(names: DataFrame, column: str) -> DataFrame:
 
 
 def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -> DataFrame:
-    """(column, gram): of each stretch of a name the gram that is rarest on the other side, if it is there at all."""
+    """(column, gram): of each stretch of a name the gram that is rarest on the other side, if a name as long has it."""
     n = F.length(column)
     k = n - F.ceil(n * F.lit(threshold) / 100)
     long = names.where(n >= GRAM).withColumn("parts", (k + 1).cast("int")).withColumn("width", F.floor(F.length(column) / (k + 1)).cast("int"))
@@ -32,18 +33,25 @@ def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -
     last = F.when(F.col("part") == F.col("parts") - 1, F.length(column)).otherwise((F.col("part") + 1) * F.col("width"))
     starts = F.sequence(F.col("part") * F.col("width") + 1, last - GRAM + 1)
     cut = stretch.select(column, "part", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(column), i, F.lit(GRAM))))).alias("gram"))
-    rated = cut.join(counts, "gram")
+    rated = cut.join(counts, "gram").where(F.length(column) <= F.col("longest"))
     return rated.groupBy(column, "part").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram")).select(column, "gram").distinct()
 
 
+def _plausible(short: str, long: str, threshold: int):
+    """Whether the shorter name keeps enough of its grams: each of k differing letters spoils GRAM of them at most."""
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(F.col(c), i, F.lit(GRAM))))
+    k = F.length(short) - F.ceil(F.length(short) * F.lit(threshold) / 100)
+    return (F.length(short) <= F.length(long)) & (F.size(F.array_intersect(grams(short), grams(long))) >= F.size(grams(short)) - k * GRAM)
+
+
 def alike(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:
     """(l_name, r_name, score) of distinct names of left (name) and right (name) with a score of at least threshold."""
     a = settle(left.where("name is not null").select(F.col("name").alias("l_name")).distinct())  # read many times below
     b = settle(right.where("name is not null").select(F.col("name").alias("r_name")).distinct())
     a_grams, b_grams = _grams(a, "l_name"), _grams(b, "r_name")
-    count = lambda g: g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    a_short = _anchors(a, "l_name", threshold, count(b_grams)).join(b_grams, "gram").select("l_name", "r_name")
-    b_short = _anchors(b, "r_name", threshold, count(a_grams)).join(a_grams, "gram").select("l_name", "r_name")
+    count = lambda g, c: g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max(F.length(c)).alias("longest"))
+    a_short = _anchors(a, "l_name", threshold, count(b_grams, "r_name")).join(b_grams, "gram").where(_plausible("l_name", "r_name", threshold)).select("l_name", "r_name")
+    b_short = _anchors(b, "r_name", threshold, count(a_grams, "l_name")).join(a_grams, "gram").where(_plausible("r_name", "l_name", threshold)).select("l_name", "r_name")
     same = a.join(b, F.col("l_name") == F.col("r_name")).select("l_name", "r_name")
     pairs = same.unionByName(a_short).unionByName(b_short).unionByName(_tiny(a, b)).distinct()
     return pairs.withColumn("score", S.name_score(F.col("l_name"), F.col("r_name"))).where(F.col("score") >= threshold)
