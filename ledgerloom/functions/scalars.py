@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 AMOUNT = "decimal(18,2)"
+# What a reason says of the left text inside the right one, and the other way round.
+INSIDE = ("CBL in Insurer: ", "Insurer in CBL: ")
 #: Tiers by the difference of two amounts: multiple of the tolerance, name, confidence (fixed values).
 TIERS = [
     ("0.1", "PERFECT_MATCH", "Perfect"),
@@ -90,7 +92,7 @@ def overlap(a: Column, b: Column, least: float = 0.8, length: int = 10) -> Colum
 
 def overlap_text(a: Column, b: Column, share: Column) -> Column:
     """What a match reason says of an overlap, left text first."""
-    return F.concat(F.when(F.contains(b, a), "CBL in Insurer: ").otherwise("Insurer in CBL: "), F.round(share.cast("decimal(20,10)") * 100, 1).cast("decimal(9,1)").cast("string"), F.lit("% overlap"))
+    return F.concat(F.when(F.contains(b, a), INSIDE[0]).otherwise(INSIDE[1]), F.round(share.cast("decimal(20,10)") * 100, 1).cast("decimal(9,1)").cast("string"), F.lit("% overlap"))
 
 
 def difference(left: Column, right: Column) -> Column:

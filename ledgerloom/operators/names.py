@@ -1,9 +1,12 @@
 """Pairs of distinct names that are alike, without comparing every name with every other.
 
-A partial ratio of at least t % with a shorter name of n letters leaves at most k = n - ceil(t n / 100) letters
-unmatched, so of k + 1 stretches of the shorter name one is whole inside the longer name. Each stretch offers its
-rarest gram, the longer name all its grams, and an equi-join finds all candidates. Those that share too few grams for
-k letters go without Python; the rest are scored.
+A score rounds to t or more if of the letters of a name (n of them) and of its window in the longer name e at most differ,
+e = floor(n (2 - 2 (t - 0.5) / 100)). They break the shorter name in e places at most, so of e + 1 stretches of it one is
+whole inside the longer name. Each stretch offers its rarest gram, the longer name all its grams, and an equi-join finds
+all candidates. Those that share too few grams for e go without Python; the rest are scored.
+
+A name too short for e = 2 (18 letters or fewer at 95) can differ only where its window runs over the longer name's end;
+such names count as alike only if one holds the other.
 """
 
 from __future__ import annotations
@@ -24,11 +27,16 @@ def _grams(names: DataFrame, column: str) -> DataFrame:
     return long.select(column, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(column), i, F.lit(GRAM))))).alias("gram"))
 
 
+def _errors(column: str, threshold: int):
+    """How many letters may differ, in both names together."""
+    e = F.floor(F.length(column) * (2 - 2 * (threshold - 0.5) / 100) + 1e-9).cast("int")
+    return F.when(e < 2, 0).otherwise(e)
+
+
 def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -> DataFrame:
     """(column, gram): of each stretch of a name the gram that is rarest on the other side, if a name as long has it."""
-    n = F.length(column)
-    k = n - F.ceil(n * F.lit(threshold) / 100)
-    long = names.where(n >= GRAM).withColumn("parts", (k + 1).cast("int")).withColumn("width", F.floor(F.length(column) / (k + 1)).cast("int"))
+    n, e = F.length(column), _errors(column, threshold)
+    long = names.where(n >= GRAM).withColumn("parts", e + 1).withColumn("width", F.floor(n / (e + 1)).cast("int"))
     stretch = long.where(F.col("width") >= GRAM).select(column, "parts", "width", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     last = F.when(F.col("part") == F.col("parts") - 1, F.length(column)).otherwise((F.col("part") + 1) * F.col("width"))
     starts = F.sequence(F.col("part") * F.col("width") + 1, last - GRAM + 1)
@@ -38,10 +46,9 @@ def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -
 
 
 def _plausible(short: str, long: str, threshold: int):
-    """Whether the shorter name keeps enough of its grams: each of k differing letters spoils GRAM of them at most."""
+    """Whether the shorter name keeps enough of its grams: each of e differing letters spoils GRAM of them at most."""
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(F.col(c), i, F.lit(GRAM))))
-    k = F.length(short) - F.ceil(F.length(short) * F.lit(threshold) / 100)
-    return (F.length(short) <= F.length(long)) & (F.size(F.array_intersect(grams(short), grams(long))) >= F.size(grams(short)) - k * GRAM)
+    return (F.length(short) <= F.length(long)) & (F.size(F.array_intersect(grams(short), grams(long))) >= F.size(grams(short)) - _errors(short, threshold) * GRAM)
 
 
 def alike(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:

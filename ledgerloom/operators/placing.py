@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..storage import settle
 
 GRAM, LEAST, LENGTH = 8, 0.8, 10
 TOP, SIZES = 20, 5
@@ -118,10 +119,11 @@ def offers(found: DataFrame, tolerance: float = 100, sizes: int = SIZES) -> tupl
 
     offers: l_id, kind (0 single, 1 combination, 2 partial), size, confidence, diff, reason.
     """
-    one = single(found)
-    several = combined(top(found, one), tolerance, sizes)
+    one = settle(single(found))
+    several = settle(combined(top(found, one), tolerance, sizes))
     loose = partial(found, one.select("l_id").unionByName(several.select("l_id")))
     links = one.select("l_id", "r_id", F.lit(0).alias("kind")).unionByName(several.withColumn("kind", F.lit(1))).unionByName(loose.select("l_id", "r_id", F.lit(2).alias("kind")))
+    links = settle(links)  # the combinations are searched once
     rows = links.join(found.drop("tier"), ["l_id", "r_id"])
     per = rows.groupBy("l_id", "kind").agg(
         F.count(F.lit(1)).alias("size"), F.when(F.first("kind") == 1, S.difference(F.first("l_amount"), F.sum("r_amount"))).otherwise(F.min("diff")).alias("diff"), _notes().alias("note")

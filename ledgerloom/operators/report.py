@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from .claims import EXACT, NO, PARTIAL, State
 
 
+# The sheets of the workbook, in order.
+SHEETS = [
+    "exact match cbl",
+    "partial match cbl",
+    "not found cbl",
+    "exact match insurer",
+    "partial match insurer",
+    "not found insurer",
+    "Exact Matches",
+    "Partial Matches",
+    "No Matches CBL",
+    "No Matches Insurer",
+]
+
+
 def final_decisions(state: State) -> tuple[DataFrame, DataFrame]:
     """(decisions, links) after the last correction: rows claimed exactly leave partial matches, empty ones are none."""
     exact = state.links.where(F.col("status") == EXACT)
@@ -66,8 +81,5 @@ def tables(left: DataFrame, right: DataFrame, decisions: DataFrame, links: DataF
     covered = coverage(right.withColumn("amount", F.lit(None)) if "amount" not in right.columns else right, links).select("r_id", "status")
     side = lambda s: right.join(covered.where(F.col("status") == s).select("r_id"), "r_id", "left_semi")
     merged = lambda s: explode_merge(left, right, decisions.where(F.col("status") == s), links)
-    return {
-        "exact match cbl": of(EXACT), "partial match cbl": of(PARTIAL), "not found cbl": of(NO),
-        "exact match insurer": side(EXACT), "partial match insurer": side(PARTIAL), "not found insurer": side(NO),
-        "Exact Matches": merged(EXACT), "Partial Matches": merged(PARTIAL), "No Matches CBL": of(NO), "No Matches Insurer": side(NO),
-    }
+    left_only, right_only = [of(x) for x in (EXACT, PARTIAL, NO)], [side(x) for x in (EXACT, PARTIAL, NO)]
+    return dict(zip(SHEETS, [*left_only, *right_only, merged(EXACT), merged(PARTIAL), left_only[2], right_only[2]], strict=True))

@@ -49,3 +49,20 @@ def test_stream(spark, tmp_path):
     spark.sql("select 1L l_id, 2L r_id, cast(-5 as decimal(18,2)) l_amount, cast(5 as decimal(18,2)) r_amount").write.parquet(str(tmp_path / "in"))
     landing.stream_tiers(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [r.tier for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["PERFECT_MATCH"]
+
+
+def test_workbooks_to_report(spark, tmp_path):
+    from ledgerloom.operators import report
+    from ledgerloom.plans import workbooks
+
+    left = spark.createDataFrame([("Placing No.", "Client Name", "Policy No.", "Net Amount"), ("PL/0000000001", "Ann", "10001", "-100"), ("PL/0000000002", "Bob", "x", "bad")], "`Broker statement` string, `_1` string, `_2` string, `_3` string")
+    right = spark.createDataFrame([("PL/0000000001", "Ann", "10001", 100.0)], "BRKREF string, NAME string, POLNO string, Amount double")
+    xlsx.write_workbook({"S": left}, str(tmp_path / "l.xlsx"))
+    xlsx.write_workbook({"S": right}, str(tmp_path / "r.xlsx"))
+    maps = {"Placing No.": "PlacingNo", "Client Name": "ClientName", "Policy No.": "PolicyNo", "Net Amount": "Amount"}, {"BRKREF": "PlacingNo", "NAME": "ClientName", "POLNO": "PolicyNo_1"}
+    tables = workbooks.run(spark, str(tmp_path / "l.xlsx"), str(tmp_path / "r.xlsx"), *maps)
+    assert list(tables) == report.SHEETS
+    assert [(r.PlacingNo, r.r_id) for r in tables["Exact Matches"].collect()] == [("PL/0000000001", 0)]
+    assert [r.ClientName for r in tables["not found cbl"].collect()] == ["Bob"]
+    xlsx.write_workbook(tables, str(tmp_path / "report.xlsx"))
+    assert xlsx.read_grid(spark, str(tmp_path / "report.xlsx")).select("sheet").distinct().count() == 10
