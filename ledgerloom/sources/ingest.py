@@ -47,7 +47,7 @@ def body(grid: DataFrame, header_row: int, names: list[str]) -> DataFrame:
     out = rows.select(*cells)
     if header_row > 0:
         out = out.where(~F.col(f"`{names[0]}`").eqNullSafe(F.lit(names[0])))
-    return out.dropna("all")
+    return out.where(F.coalesce(*[F.col(f"`{n}`") for n in names]).isNotNull())
 
 
 def similarity(a: Column, b: Column) -> Column:
