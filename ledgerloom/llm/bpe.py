@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import small_batches
@@ -33,7 +33,7 @@ NONE = np.int64(1) << 62
 WIDEST, STEP_WORDS = 64, 8192
 
 #: Pieces and words kept per worker; a full store is emptied, which costs time and changes no result.
-CACHE_PIECES, CACHE_WORDS = 800_000, 400_000
+CACHE_PIECES = 600_000
 
 
 def byte_letters() -> list[str]:
@@ -77,7 +77,6 @@ class SegmentTreeBPE:
         self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         #: ids as 32-bit numbers, which take a third of the memory of Python's
         self.known: dict[str, bytes] = {}
-        self.known_words: dict[str, bytes] = {}
 
     def merge(self, word: str) -> tuple[int, ...]:
         """Ids of one piece of the pattern.
@@ -208,15 +207,17 @@ class SegmentTreeBPE:
         return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Bring the ids of pieces into the store. A piece of white space is one word of the pattern."""
-        if len(self.known_words) + len(pieces) > CACHE_WORDS:
-            self.known_words.clear()
+        """Bring the ids of pieces into the store, which holds words too: a piece of one word is that word.
+
+        White space is one word of the pattern.
+        """
         cut = [(p, [p] if p.isspace() else self.words.findall(p)) for p in pieces]
-        fresh = list({w for _, words in cut for w in words} - self.known_words.keys())
-        self.known_words.update(zip(fresh, self.merge_many(fresh), strict=True))
-        known_words = self.known_words
+        fresh = list({w for _, words in cut for w in words} - self.known.keys())
+        known = self.known
+        known.update(zip(fresh, self.merge_many(fresh), strict=True))
         for p, words in cut:
-            self.known[p] = known_words[words[0]] if len(words) == 1 else b"".join(map(known_words.__getitem__, words))
+            if len(words) > 1:
+                known[p] = b"".join(map(known.__getitem__, words))
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of texts; null counts as empty."""
@@ -275,12 +276,20 @@ def decoder(spec: str):
     return bpe_decode
 
 
-def round_trip(df: DataFrame, path: str, text: Column | str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """df with the ids of its text column and the text decoded from those ids.
 
-    Both columns are made in one pass: Spark chains the two UDFs in one Python worker run.
+    One UDF makes both: two in a row would run two Python workers for each task.
     """
     small_batches(df.sparkSession)
     spec = load_spec(path)
-    encoded = df.withColumn(ids, encoder(spec)(F.col(text) if isinstance(text, str) else text))
-    return encoded.withColumn(decoded, decoder(spec)(F.col(ids)))
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def bpe_round_trip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(spec)
+        for texts in parts:
+            found = codec.encode_batch(texts.tolist())
+            yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "decoded": [codec.decode(x) for x in found]})
+
+    done = df.withColumn("_bpe", bpe_round_trip(F.col(text)))
+    return done.select(*[c for c in df.columns if c not in (ids, decoded)], F.col("_bpe.ids").alias(ids), F.col("_bpe.decoded").alias(decoded))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows in one Arrow batch. Texts can be long, so a batch must stay small in bytes too.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
