@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from .shared import small_batches
 
 #: Documents that training reads at most: per language, and of all languages together. Buckets of n-grams.
-SAMPLE, SAMPLE_ALL, BUCKETS = 250, 4_000, 1 << 14
+SAMPLE, SAMPLE_ALL, BUCKETS = 120, 2_000, 1 << 14
 #: Gradient steps of training.
 STEPS = 120
 UNKNOWN = "und"
-#: A best score below this flags a text as ambiguous.
+#: A best score below this, or below a tenth more than an even share of the languages, flags a text as ambiguous.
 AMBIGUOUS = 0.3
 #: Characters that a worker turns into features at once.
 CHUNK = 1_000_000
@@ -98,14 +98,16 @@ class Codes:
         self.languages, self.code = languages, codewords(len(languages))
         if len(languages) < 2:
             return
-        share = features / np.maximum(1, features.sum(axis=1, keepdims=True))
-        self.idf = np.log((1 + len(share)) / (1 + (share > 0).sum(axis=0))) + 0.1
-        x = np.sqrt(share) * self.idf
-        self.scale = 1 / max(1e-12, np.sqrt((x**2).sum(axis=1)).mean())
+        x = features  # one matrix of 32-bit numbers, changed in place
+        x /= np.maximum(1, x.sum(axis=1, keepdims=True))
+        self.idf = (np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 0.1).astype(np.float32)
+        np.sqrt(x, out=x)
+        x *= self.idf
+        self.scale = np.float32(1 / max(1e-12, np.sqrt(np.einsum("ij,ij->i", x, x)).mean()))
+        x *= self.scale
         y = self.code[labels]
         of_language = np.bincount(labels, minlength=len(languages))
         weight = (1 / of_language[labels])[:, None] / len(languages)
-        x = (x * self.scale).astype(np.float32)
         w, bias = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
         fast_w, fast_b, before = w.copy(), bias.copy(), 1.0
         for _ in range(STEPS):  # gradient steps with momentum on the mean logistic loss
@@ -149,7 +151,7 @@ class Codes:
             else:
                 best, sure = self.decode(self.outputs([r for r in raw if r]))
             name[known], score[known] = np.array(self.languages, dtype=object)[best], sure
-        return pd.DataFrame({"lang": name, "score": score, "ambiguous": (score < AMBIGUOUS)})
+        return pd.DataFrame({"lang": name, "score": score, "ambiguous": score < min(AMBIGUOUS, 1.1 / max(1, len(self.languages)))})
 
 
 def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Codes:
@@ -164,7 +166,7 @@ def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text"
     def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             found = [counts(plain(t)) for t in part["text"]]
-            yield pd.DataFrame({"lang": part["lang"], "at": [a.astype("<i4").tobytes() for a, _ in found], "n": [n.astype("<f8").tobytes() for _, n in found]})
+            yield pd.DataFrame({"lang": part["lang"], "at": [a.astype("<u2").tobytes() for a, _ in found], "n": [n.astype("<f4").tobytes() for _, n in found]})
 
     ids = df.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in picked], "_id long, _lang string")
     chosen = df.join(F.broadcast(ids), (F.col(doc_id) == F.col("_id")) & (F.col(lang) == F.col("_lang")), "left_semi")  # at most SAMPLE_ALL ids
@@ -174,7 +176,7 @@ def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text"
     languages = sorted({r["lang"] for r in found})
     x = np.zeros((len(found), BUCKETS), dtype=np.float32)
     for k, r in enumerate(found):
-        x[k, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["n"], "<f8")
+        x[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
     return Codes(languages, x, np.array([languages.index(r["lang"]) for r in found], dtype=int))
 
 
