@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import small_batches
@@ -211,8 +211,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     spark = docs.sparkSession
     marked = labels.where(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
-    top = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = marked.withColumn("n", F.row_number().over(top)).where(F.col("n") <= sample).select("doc_id", "toxic").collect()
+    # the first of each label by hash: every task keeps its own first ones, no label is sorted as a whole
+    first = [marked.where(F.col("toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "toxic").collect() for x in (0, 1)]
+    picked = first[0] + first[1]
     # a label of which more examples exist than were taken counts for as many
     of_label = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     taken = Counter(r["toxic"] for r in picked)
