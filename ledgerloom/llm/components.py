@@ -58,11 +58,9 @@ def classes(rows: DataFrame, named: DataFrame, checked: DataFrame, id_column: st
     """
     links = checked.groupBy("vertex").agg(F.sum("links").alias("links"))
     known = rows.where(F.col("vertex").isNotNull() & F.col(id_column).isNotNull())
-    moved = known.join(named, "vertex").where(F.col(id_column) != F.col("rep")).groupBy(F.col(id_column).alias("a")).agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    own = known.join(named, "vertex").where(F.col(id_column) == F.col("rep")).select(F.col(id_column).alias("a")).distinct().withColumn("own", F.lit(True))
-    # an id with several vertices ties their least ids together; one with a single vertex adds nothing
-    several = moved.join(own, "a", "left").where("lo <> hi or own")
-    tied = several.select("a", F.col("lo").alias("b")).unionByName(several.select("a", F.col("hi").alias("b")))
+    # an id with several vertices ties their least ids together; ids are spread, so this sum has no hot key
+    several = known.groupBy(id_column).agg(F.min("vertex").alias("lo"), F.max("vertex").alias("hi")).where("lo <> hi").select(id_column)
+    tied = known.join(several, id_column, "left_semi").join(named, "vertex").select(F.col(id_column).alias("a"), F.col("rep").alias("b"))
     found = components(checked.where("a <> b").select("a", "b").unionByName(tied)).withColumnRenamed("vertex", "rep")
     per_vertex = named.join(links, "vertex", "left").join(found, "rep", "left")
     per_vertex = per_vertex.select("vertex", F.coalesce("component", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
