@@ -2,19 +2,19 @@
 
 Examples. At most SAMPLE labelled documents of each label, those of least hash of their id, make the index.
 Terms. Words in lower case, and stems: the first 5, 6 and 7 letters of longer words, where a text has two words or more
-of the stem. The vocabulary is the terms whose presence differs between toxic and clean examples beyond chance
-(log-likelihood ratio of at least LEAST_GAIN) and LEAST_ODDS times at least, VOCABULARY of them at most. Weights. (1 + ln tf) * idf, with the document frequencies of all documents of the table, not of the
-examples alone. Rows are scaled to length one, so the cosine is an inner product.
+of the stem. All terms of the examples are the vocabulary. Weights. (1 + ln tf) * idf * relevance, with the document
+frequencies of all documents of the table, not of the examples alone. A term's relevance is FLOOR plus its gain as a
+share of the largest one, gain being the log-likelihood ratio of its presence in toxic and clean examples, so it doesn't
+depend on how many labels there are. Rows are scaled to length one, so the cosine is an inner product.
 
-Search. Each term's postings are cut into blocks of BLOCK examples with their largest weight. A query takes its terms
-in order of their largest possible share; a block of examples is left out once its summed block maxima can't beat the
-k-th best cosine so far. So the K nearest examples are exact; ties go to the smaller doc_id.
+Search. Each term's postings are cut into blocks of BLOCK examples with their largest weight. A query sums its terms'
+block maxima, searches the blocks of the largest sums first and leaves out those that can't beat the k-th best cosine so
+far. So the K nearest examples are exact; ties go to the smaller doc_id.
 
 Score. Votes of the neighbours are weighted by 1 / (distance + 0.05), distance being 1 - cosine; a share of the weight
-is kept for the rate of toxic examples among those without any term (the prior), so that weak evidence stays weak; an
-example counts for as many labelled documents as its label has for each one taken. A
-logistic curve fitted to the examples' own leave-one-out votes makes it a probability. Evidence is the neighbours'
-doc_id, cosine and label.
+is kept for the rate of toxic examples (the prior), so that weak evidence stays weak; an example counts for as many
+labelled documents as its label has for each one taken. A logistic curve fitted to the examples' own leave-one-out votes
+makes it a probability. Evidence is the neighbours' doc_id, cosine and label.
 
 Defined cases. A text without a term of the vocabulary (null and empty ones too) has no neighbours and the prior's
 score. Labels that are null, or whose doc_id is null or has no document, are not examples; where a doc_id is labelled
@@ -25,6 +25,7 @@ kept.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,12 +37,15 @@ from pyspark.sql import functions as F
 
 from .shared import small_batches
 
-#: Examples of each label, terms, neighbours, examples in a block of postings.
-SAMPLE, VOCABULARY, K, BLOCK = 2_000, 4_096, 15, 64
-LEAST_GAIN, LEAST_ODDS = 30.0, 4.0
+#: Examples of each label, neighbours, examples in a block of postings.
+SAMPLE, K, BLOCK = 2_000, 15, 64
+#: Relevance of a term that is as common in toxic as in clean examples; the most telling term has 1 more.
+FLOOR = 0.01
+#: Groups of terms whose document frequencies are summed apart.
+SLOTS = 64
 TOXIC_FROM = 0.7
-#: Words whose terms a worker keeps; a full store is emptied, which changes no result.
-CACHE_WORDS = 300_000
+#: Words and texts whose terms and neighbours a worker keeps; a full store is emptied, which changes no result.
+CACHE_WORDS, CACHE_TEXTS = 300_000, 5_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -65,77 +69,90 @@ def terms(text: str | None) -> dict[str, int]:
     return found | {stem: n - 1 for stem, n in stems.items() if n > 1}
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers from each start up to its stop, one range after another."""
+    n = stop - start
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class BlockMaxIndex:
     """Examples as unit vectors, by term, with the largest weight of each block of examples."""
 
     def __init__(self, ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.ids, self.blocks = ids, -(-len(ids) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for doc, (at, weight) in enumerate(vectors):
-            for t, w in zip(at.tolist(), weight.tolist(), strict=True):
-                postings[t].append((doc, w))
-        self.docs = [np.array([d for d, _ in p], dtype=np.int64) for p in postings]
-        self.weights = [np.array([w for _, w in p]) for p in postings]
-        self.starts = [np.searchsorted(d, np.arange(self.blocks + 1) * BLOCK) for d in self.docs]
-        self.block_max = np.zeros((n_terms, self.blocks))
-        for t, (d, w) in enumerate(zip(self.docs, self.weights, strict=True)):
-            np.maximum.at(self.block_max[t], d // BLOCK, w)
+        size = [len(at) for at, _ in vectors]
+        term = np.concatenate([np.zeros(0, dtype=np.int64), *(at for at, _ in vectors)])
+        weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        doc = np.repeat(np.arange(len(ids)), size)
+        order = np.argsort(term, kind="stable")  # postings by term, then by example
+        term, self.docs, self.weights = term[order], doc[order].astype(np.int32), weight[order]
+        # runs of postings of one term in one block: where they begin, their block and largest weight; each term's runs
+        key = term * max(1, self.blocks) + self.docs // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.run_start = np.append(first, len(key)).astype(np.int32)
+        self.run_block = (self.docs[first] // BLOCK).astype(np.int32)
+        self.run_max = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.runs_of = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
 
     def search(self, at: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a cosine above 0; `without` is left out."""
-        bound = weight @ self.block_max[at]
+        begin, end = self.runs_of[at].astype(np.int64), self.runs_of[at + 1].astype(np.int64)
+        runs, share = _ranges(begin, end), np.repeat(weight, end - begin)
+        block = self.run_block[runs]
+        bound = np.bincount(block, share * self.run_max[runs], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         best_doc, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-        place = 0
+        place, size = 0, 4
         while place < len(order) and bound[order[place]] > 0:
-            kth = best[-1] if len(best) >= k else 0.0
-            if bound[order[place]] < kth - 1e-12:
-                break  # bounds fall from here on
-            step = order[place : place + (1 if len(best) >= k else 4)]
-            place += len(step)
-            docs, part = [], []
-            for b in step.tolist():
-                total = np.zeros(BLOCK)
-                for t, w in zip(at.tolist(), weight.tolist(), strict=True):
-                    s, e = self.starts[t][b], self.starts[t][b + 1]
-                    if e > s:
-                        total[self.docs[t][s:e] - b * BLOCK] += w * self.weights[t][s:e]
-                some = np.flatnonzero(total)
-                docs.append(some + b * BLOCK)
-                part.append(total[some])
-            doc, cosine = np.concatenate((best_doc, *docs)), np.concatenate((best, *part))
-            keep = doc != without
-            doc, cosine = doc[keep], np.round(cosine[keep], 12)
+            step = order[place : place + size]
+            # bounds fall from here on
+            step = step[bound[step] >= (best[-1] - 1e-12 if len(best) >= k else 1e-300)]
+            if not len(step):
+                break
+            place, size = place + size, 4 * size
+            chosen = np.zeros(self.blocks, dtype=bool)
+            chosen[step] = True
+            some = chosen[block]
+            start, stop = self.run_start[runs[some]].astype(np.int64), self.run_start[runs[some] + 1].astype(np.int64)
+            found = _ranges(start, stop)
+            total = np.bincount(self.docs[found], np.repeat(share[some], stop - start) * self.weights[found], minlength=len(self.ids))
+            if 0 <= without:
+                total[without] = 0
+            more = np.flatnonzero(total)
+            doc, cosine = np.concatenate((best_doc, more)), np.concatenate((best, np.round(total[more], 12)))
+            if len(doc) > 4 * k:  # none below the k-th is sorted
+                some = cosine >= np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+                doc, cosine = doc[some], cosine[some]
             top = np.lexsort((self.ids[doc], -cosine))[:k]
             best_doc, best = doc[top], cosine[top]
         return best_doc, best
 
 
 class Model:
-    """Vocabulary, idf, index, labels, prior and calibration."""
+    """Vocabulary, weights of its terms, index, labels, prior and calibration."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, tfs: list[dict[int, int]], per_example: tuple[float, float] = (1.0, 1.0)):
+    def __init__(self, terms: list[str], term_weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, tfs: list[dict[int, int]], per_example: tuple[float, float] = (1.0, 1.0)):
         self.per_example = np.array(per_example)
-        self.terms, self.idf = {t: k for k, t in enumerate(terms)}, idf
+        self.terms, self.term_weight = {t: k for k, t in enumerate(terms)}, term_weight
         order = np.lexsort((labels, ids))
         ids, labels, tfs = ids[order], labels[order], [tfs[k] for k in order.tolist()]
         vectors = [self.vector(tf) for tf in tfs]
         some = np.array([len(at) > 0 for at, _ in vectors], dtype=bool)
         self.labels = labels[some]
         self.index = BlockMaxIndex(ids[some], [v for v, s in zip(vectors, some, strict=True) if s], len(terms))
-        bare = labels[~some]
-        rate = lambda x, add: (self.per_example[x] * x).sum() / (self.per_example[x].sum() + add)
-        self.prior = float(rate(bare, 1.0)) if len(terms) else (float(rate(labels, 0.0)) if len(labels) else 0.0)
+        self.prior = float((self.per_example[labels] * labels).sum() / self.per_example[labels].sum()) if len(labels) else 0.0
         self.slope, self.offset = 1.0, 0.0
         self.known: dict[str, tuple[int | None, tuple[int, ...]]] = {}
         votes = np.array([self.vote(*self.index.search(at, w, K, n)) for n, (at, w) in enumerate(v for v, s in zip(vectors, some, strict=True) if s)])
         if len(votes) and 0 < self.labels.sum():
             self._calibrate(np.append(votes, [0.0, 1.0]), np.append(self.labels, [0, 1]))
-        self.seen: dict[tuple, tuple[float, list]] = {}
+        self.seen: dict[bytes, tuple[float, list]] = {}
 
     def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(sorted(tf), dtype=np.int64)
-        weight = (1 + np.log([tf[t] for t in at.tolist()])) * self.idf[at] if len(at) else np.zeros(0)
+        at = np.fromiter(tf.keys(), np.int64, len(tf))
+        order = np.argsort(at)
+        at, n = at[order], np.fromiter(tf.values(), float, len(tf))[order]
+        weight = (1 + np.log(n)) * self.term_weight[at] if len(at) else np.zeros(0)
         return at, weight / np.sqrt((weight**2).sum()) if len(at) else weight
 
     def vote(self, docs: np.ndarray, cosine: np.ndarray) -> float:
@@ -181,28 +198,50 @@ class Model:
         tf = self.counts(text)
         if not tf:
             return self.prior, []
-        key = tuple(sorted(tf.items()))
+        at, weight = self.vector(tf)
+        key = hashlib.blake2b(at.tobytes() + weight.tobytes(), digest_size=16).digest()
         if key not in self.seen:
-            if len(self.seen) > 20_000:
+            if len(self.seen) > CACHE_TEXTS:
                 self.seen.clear()
-            docs, cosine = self.index.search(*self.vector(tf), K)
+            docs, cosine = self.index.search(at, weight, K)
             vote = min(1 - 1e-4, max(1e-4, self.vote(docs, cosine)))
             found = 1 / (1 + np.exp(-(self.slope * np.log(vote / (1 - vote)) + self.offset))) if len(docs) else self.prior
             self.seen[key] = float(found), list(zip(self.index.ids[docs].tolist(), cosine.tolist(), self.labels[docs].tolist(), strict=True))
         return self.seen[key]
 
 
-def _gain(toxic, clean, all_toxic: int, all_clean: int) -> Column:
-    """Log-likelihood ratio of a term's presence, negative where it is commoner in clean examples."""
+def gains(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
+    """Log-likelihood ratios of terms' presence, from the numbers of toxic and clean examples that have them."""
+    n, both = all_toxic + all_clean, toxic + clean
+    part = lambda seen, expected: seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+    return 2 * sum(part(seen, both * side / n) + part(side - seen, (n - both) * side / n) for seen, side in ((toxic, all_toxic), (clean, all_clean)))
 
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    n, both = all_toxic + all_clean, toxic + clean
-    gain = F.lit(0.0)
-    for seen, side in ((toxic, all_toxic), (clean, all_clean)):
-        gain = gain + part(seen, both * side / n) + part(side - seen, (n - both) * side / n)
-    return F.when(toxic * all_clean >= clean * all_toxic, 2 * gain).otherwise(-2 * gain)
+def _document_frequencies(docs: DataFrame, chosen: list[str]) -> np.ndarray:
+    """In how many rows of docs (text) each term is: every task counts on its own, the counts are summed by slot."""
+    counter = Model(chosen, np.ones(len(chosen)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [])
+    edges = np.linspace(0, len(chosen), SLOTS + 1).astype(np.int64)
+    packed = lambda n: {"at": np.flatnonzero(n).astype("<u4").tobytes(), "n": n[n > 0].astype("<i8").tobytes()}
+
+    def of_task(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df = np.zeros(len(chosen), dtype=np.int64)
+        for part in parts:
+            for text in part["text"]:
+                df[list(counter.counts(text))] += 1
+        yield pd.DataFrame([{"slot": k} | packed(df[edges[k] : edges[k + 1]]) for k in range(SLOTS) if df[edges[k] : edges[k + 1]].any()], columns=["slot", "at", "n"])
+
+    def summed(part: pd.DataFrame) -> pd.DataFrame:
+        slot = int(part["slot"].iloc[0])
+        df = np.zeros(edges[slot + 1] - edges[slot], dtype=np.int64)
+        for at, n in zip(part["at"], part["n"], strict=True):
+            df[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<i8")
+        return pd.DataFrame([{"slot": slot} | packed(df)])
+
+    form = "slot int, at binary, n binary"
+    out = np.zeros(len(chosen), dtype=np.int64)
+    for r in docs.select("text").mapInPandas(of_task, form).groupBy("slot").applyInPandas(summed, form).collect():
+        out[edges[r["slot"]] + np.frombuffer(r["at"], "<u4").astype(np.int64)] = np.frombuffer(r["n"], "<i8")
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
@@ -227,39 +266,26 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     # one text for a repeated id: the least
     examples = examples.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
-    @F.pandas_udf("array<string>")
-    def all_terms(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(terms(t)))
-
-    present = examples.select("toxic", F.explode(all_terms("text")).alias("term"))
-    seen = present.groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    gained = seen.withColumn("gain", _gain(F.col("t"), F.col("c"), toxic, len(picked) - toxic)).where(F.abs("gain") >= LEAST_GAIN)
-    odds = (F.col("t") + 0.5) / (toxic - F.col("t") + 0.5) * (len(picked) - toxic - F.col("c") + 0.5) / (F.col("c") + 0.5)
-    gained = gained.where((odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS))
-    chosen = sorted(r["term"] for r in gained.orderBy(F.desc(F.abs("gain")), "term").limit(VOCABULARY).collect())
-    if not chosen:
-        return none
-    counter = Model(chosen, np.ones(len(chosen)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [])
-
-    @F.pandas_udf("array<int>")
-    def held(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield texts.map(lambda t: sorted(counter.counts(t)))
-
-    everywhere = docs.select(F.explode(held("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
-    total = docs.count()
-    df = np.zeros(len(chosen))
-    for r in everywhere:
-        df[r["term"]] = r["df"]
-    idf = np.log((1 + total) / (1 + df)) + 1
+    def own_terms(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [terms(t) for t in part["text"]]
+            yield pd.DataFrame({"doc_id": part["doc_id"], "toxic": part["toxic"], "terms": [" ".join(f) for f in found], "n": [np.array(list(f.values()), dtype="<i4").tobytes() for f in found]})
 
-    @F.pandas_udf("array<struct<term: int, n: int>>")
-    def frequencies(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield texts.map(lambda t: [{"term": k, "n": n} for k, n in sorted(counter.counts(t).items())])
-
-    rows = examples.select("doc_id", "toxic", frequencies("text").alias("tf")).collect()
-    return Model(chosen, idf, np.array([r["doc_id"] for r in rows], dtype=np.int64), np.array([r["toxic"] for r in rows], dtype=np.int64), [{x["term"]: x["n"] for x in r["tf"]} for r in rows], stands_for)
+    # all terms of at most 2 * sample examples come to the driver, as one text and one row of numbers each
+    rows = examples.mapInPandas(own_terms, "doc_id long, toxic int, terms string, n binary").collect()
+    if not any(r["terms"] for r in rows):
+        return none
+    chosen = sorted(set().union(*(r["terms"].split() for r in rows)))
+    place = {t: k for k, t in enumerate(chosen)}
+    tfs = [dict(zip([place[t] for t in r["terms"].split()], np.frombuffer(r["n"], "<i4").tolist(), strict=True)) for r in rows]
+    marks = np.array([r["toxic"] for r in rows], dtype=np.int64)
+    seen = np.zeros((2, len(chosen)))
+    for tf, x in zip(tfs, marks.tolist(), strict=True):
+        seen[x, list(tf)] += 1
+    gain = gains(seen[1], seen[0], int(marks.sum()), int((1 - marks).sum()))
+    relevance = FLOOR + gain / gain.max() if gain.max() > 1e-9 else np.ones(len(chosen))
+    idf = np.log((1 + docs.count()) / (1 + _document_frequencies(docs, chosen))) + 1
+    return Model(chosen, idf * relevance, np.array([r["doc_id"] for r in rows], dtype=np.int64), marks, tfs, stands_for)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:

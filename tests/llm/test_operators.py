@@ -393,3 +393,24 @@ def test_toxicity(spark):
     for empty in (marks.limit(0), marks.where("toxic = 0")):
         assert toxicity.score(docs, toxicity.fit(docs, empty, F.lit(True)), out="t").where("t.predicted = 1").count() == 0
     assert toxicity.score(docs.limit(0), model, out="t").count() == 0
+
+
+def test_toxicity_weighs_all_terms_of_few_examples(spark):
+    rng = random.Random(13)
+    rows = [(i, prose(rng, "abcdefgh", 30)) for i in range(40)]
+    rows = [(i, f"{t} scum loser" if i < 5 else t) for i, t in rows]
+    rows += [(100, rows[7][1]), (101, rows[2][1]), (102, prose(rng, "abcdefgh", 30) + " scum loser")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 5)) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert set(model.terms) == {t for _, text in rows[:40] for t in toxicity.terms(text)}
+    # document frequencies are those of all rows
+    df = {t: sum(t in toxicity.terms(text) for _, text in rows) for t in ("scum", *toxicity.words(rows[7][1])[:3])}
+    seen = {t: [sum(t in toxicity.terms(rows[i][1]) for i in range(40) if (i < 5) == bad) for bad in (True, False)] for t in model.terms}
+    gain = dict(zip(seen, toxicity.gains(*np.array(list(seen.values()), dtype=float).T, 5, 35), strict=True))
+    for t, n in df.items():
+        assert abs(model.term_weight[model.terms[t]] - (np.log(44 / (1 + n)) + 1) * (0.01 + gain[t] / max(gain.values()))) < 1e-9
+    got = {r.doc_id: r.t for r in toxicity.score(docs, model, out="t").where("doc_id >= 100").collect()}
+    assert [got[100].evidence[0].doc_id, got[101].evidence[0].doc_id] == [7, 2] and min(got[k].evidence[0].cosine for k in (100, 101)) > 0.999999
+    assert min(got[101].score, got[102].score) > 0.5 > got[100].score
+    assert {e.doc_id for e in got[102].evidence[:5]} == set(range(5))
