@@ -3,7 +3,10 @@
 Each language has a codeword of +1 and -1 (exhaustive for up to 7 languages, else random rows of good distance). One
 binary classifier per bit, logistic over hashed byte n-grams of one to three bytes, tells the bit of a text. Decoding
 weighs the classifiers by their accuracy in training and takes the language of least exponential-free logistic loss
-over all bits; the score is that language's share of the soft losses, and a score below AMBIGUOUS flags ambiguity.
+over all bits; the score is that language's share of the soft losses. A text is ambiguous if the losses of the nearest and
+the second codeword, per weight of the bits in which the two codewords differ, differ by less than AMBIGUOUS of what is
+the median of the documents that training took for the nearest language; so the bound means the same for any number of
+languages, and labels with errors lower it.
 
 Training reads at most SAMPLE documents per language and SAMPLE_ALL in all (beyond SAMPLE_ALL languages the first by
 name are learnt), those of least hash of their id; a document's features are counts in BUCKETS buckets, so what comes
@@ -35,8 +38,8 @@ SAMPLE, SAMPLE_ALL, BUCKETS = 120, 2_000, 1 << 14
 #: Gradient steps of training.
 STEPS = 120
 UNKNOWN = "und"
-#: A best score below this, or below a tenth more than an even share of the languages, flags a text as ambiguous.
-AMBIGUOUS = 0.3
+#: A margin below this share of its language's median in training flags a text as ambiguous.
+AMBIGUOUS = 0.16
 #: Characters that a worker turns into features at once.
 CHUNK = 1_000_000
 _NOT_LETTERS = regex.compile(r"[^\p{L}]+")
@@ -122,15 +125,19 @@ class Codes:
         right = ((y * (x @ w + bias) > 0) * weight).sum(axis=0)
         gain = np.maximum(1e-3, 2 * right - 1)
         self.bit_weight = gain / gain.sum()
+        best, _, margin = self.decode(x @ w.astype(np.float32) + bias)
+        self.typical = np.array([np.median(margin[best == k]) if (best == k).any() else np.median(margin) for k in range(len(languages))])
 
-    def decode(self, outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and score of rows of bit outputs, by loss-weighted decoding."""
+    def decode(self, outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score and margin of rows of bit outputs, by loss-weighted decoding."""
         margin = self.code[None, :, :] * outputs[:, None, :]
         loss = (np.logaddexp(0, -margin) * self.bit_weight).sum(axis=2)
         share = np.exp(-3 * (loss - loss.min(axis=1, keepdims=True)))
         share /= share.sum(axis=1, keepdims=True)
-        best = loss.argmin(axis=1)
-        return best, share[np.arange(len(best)), best]
+        row = np.arange(len(loss))
+        best, second = np.argsort(loss, axis=1, kind="stable")[:, :2].T
+        apart = ((self.code[best] != self.code[second]) * self.bit_weight).sum(axis=1)
+        return best, share[row, best], (loss[row, second] - loss[row, best]) / np.maximum(1e-12, apart)
 
     def outputs(self, texts: list[bytes]) -> np.ndarray:
         """Bit outputs of texts, all of which have letters."""
@@ -144,14 +151,15 @@ class Codes:
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         raw = [plain(t) for t in texts]
         known = np.array([len(r) > 0 for r in raw], dtype=bool)
-        name, score = np.full(len(raw), UNKNOWN, dtype=object), np.zeros(len(raw))
+        name, score, margin = np.full(len(raw), UNKNOWN, dtype=object), np.zeros(len(raw)), np.zeros(len(raw))
         if known.any() and self.languages:
             if len(self.languages) == 1:
-                best, sure = np.zeros(known.sum(), dtype=int), np.ones(known.sum())
+                best, sure, apart = np.zeros(known.sum(), dtype=int), np.ones(known.sum()), np.full(known.sum(), np.inf)
             else:
-                best, sure = self.decode(self.outputs([r for r in raw if r]))
-            name[known], score[known] = np.array(self.languages, dtype=object)[best], sure
-        return pd.DataFrame({"lang": name, "score": score, "ambiguous": score < min(AMBIGUOUS, 1.1 / max(1, len(self.languages)))})
+                best, sure, apart = self.decode(self.outputs([r for r in raw if r]))
+                apart = apart / self.typical[best]
+            name[known], score[known], margin[known] = np.array(self.languages, dtype=object)[best], sure, apart
+        return pd.DataFrame({"lang": name, "score": score, "ambiguous": margin < AMBIGUOUS})
 
 
 def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Codes:
@@ -193,6 +201,10 @@ def identify(df: DataFrame, model: Codes, text: str = "text", out: str = "langua
 
 
 def keep_identified(df: DataFrame, model: Codes) -> DataFrame:
-    """The rows of df whose text has a language and isn't ambiguous, with df's own columns."""
+    """The rows of df whose text has a language and a score above an even share, with df's own columns.
+
+    Rows that are only ambiguous stay: where the same text is labelled with two languages the flag holds whole documents.
+    """
     found = identify(df, model, out="_language")
-    return found.where((F.col("_language.lang") != UNKNOWN) & ~F.col("_language.ambiguous")).select(*df.columns)
+    least = min(0.3, 1.1 / max(1, len(model.languages)))
+    return found.where((F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least)).select(*df.columns)

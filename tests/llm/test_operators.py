@@ -346,6 +346,23 @@ def test_language_id(spark):
     assert {r.found.lang for r in language_id.identify(docs, one, out="found").collect()} == {"aa", "und"}
 
 
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_language_id_rejects_mixed_and_even_texts(n):
+    rng = random.Random(14)
+    letters = dict(zip(["aa", "bb", "cc", "dd"][:n], ["abcde", "fghij", "klmno", "pqrst"], strict=False))
+    texts = [(lang, prose(rng, letters[lang], 40)) for lang in letters for _ in range(60)]
+    x = np.zeros((len(texts), language_id.BUCKETS), dtype=np.float32)
+    for row, (_, text) in zip(x, texts, strict=True):
+        at, times = language_id.counts(language_id.plain(text))
+        row[at] = times
+    model = language_id.Codes(list(letters), x, np.array([list(letters).index(lang) for lang, _ in texts]))
+    clear = model.predict([prose(rng, letters[lang], 40) for lang in letters for _ in range(20)])
+    mixed = model.predict([f"{prose(rng, letters['aa'], 40)} {prose(rng, letters['bb'], 40)}" for _ in range(20)])
+    even = model.predict([prose(rng, "".join(letters.values()), 80) for _ in range(20)])
+    assert not clear.ambiguous.any() and mixed.ambiguous.mean() > 0.9 and even.ambiguous.mean() > 0.9
+    assert clear.lang.tolist() == [lang for lang in letters for _ in range(20)]
+
+
 def test_codewords_are_apart():
     for n in range(3, 20):
         code = language_id.codewords(n)
