@@ -20,19 +20,18 @@ def groups(left: DataFrame, right: DataFrame, pairs: DataFrame, tolerance: float
     return near.select("l_name", "r_name", "score", "n_left", "n_right", "l_total", "r_total", "diff", F.struct((-F.col("n_right")).alias("size"), "l_first", "r_first").alias("rank"))
 
 
-def settled_groups(found: DataFrame, most_rounds: int = 50) -> DataFrame:
+def settled_groups(found: DataFrame) -> DataFrame:
     """Groups in order of rank, each applied if neither name is in an applied one of lower rank.
 
-    A pair of least rank on both its sides is sure; pairs that share a name with a sure one go, and so on. Groups
-    with more left than right rows are never applied, so they stand in nobody's way.
+    A pair of least rank on both its sides is sure; pairs that share a name with a sure one go, and so on until none is
+    left: every round settles the pair of least rank of all at least. Groups with more left than right rows are never
+    applied, so they stand in nobody's way.
     """
     rest = settle(found.where("n_left <= n_right"))
     out = None
-    for _ in range(most_rounds):
+    while not rest.isEmpty():
         least = lambda side: F.min("rank").over(Window.partitionBy(side))
         sure = settle(rest.withColumn("a", least("l_name")).withColumn("b", least("r_name")).where("rank = a and rank = b").drop("a", "b"))
-        if sure.isEmpty():
-            break
         out = sure if out is None else out.unionByName(sure)
         rest = settle(rest.join(sure.select("l_name"), "l_name", "left_anti").join(sure.select("r_name"), "r_name", "left_anti"))
     return rest if out is None else out

@@ -140,6 +140,13 @@ def test_groups_pair_rows_in_order_and_skip_larger_left_groups(spark):
     assert {(r.l_id, r.r_id) for r in given.collect()} == {(1, 10), (2, 11)}
 
 
+def test_groups_of_a_large_family_all_settle(spark):
+    n = 55  # every left name's least pair is with the same right name, so each round settles one pair
+    found = spark.range(n).selectExpr("concat('L', id) as l_name", "id as l").crossJoin(spark.range(n).selectExpr("concat('R', id) as r_name", "id as r"))
+    found = found.selectExpr("l_name", "r_name", "1L as n_left", "1L as n_right", "struct(-1L as size, l as l_first, r as r_first) as rank").coalesce(1)
+    assert {(r.l_name, r.r_name) for r in naming.settled_groups(found).collect()} == {(f"L{i}", f"R{i}") for i in range(n)}
+
+
 def test_matrix_rules(spark):
     rules = spark.createDataFrame([(1, "a,b|x"), (2, "c|y"), (3, "c|z"), (4, "d|missing"), (5, "bad"), (6, "e|x")], "rule_id long, rule string")
     lk = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")], "l_id long, key string")
