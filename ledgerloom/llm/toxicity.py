@@ -7,9 +7,11 @@ frequencies of all documents of the table, not of the examples alone. A term's r
 share of the largest one, gain being the log-likelihood ratio of its presence in toxic and clean examples, so it doesn't
 depend on how many labels there are. Rows are scaled to length one, so the cosine is an inner product.
 
-Search. Each term's postings are cut into blocks of BLOCK examples with their largest weight. A query sums its terms'
-block maxima, searches the blocks of the largest sums first and leaves out those that can't beat the k-th best cosine so
-far. So the K nearest examples are exact; ties go to the smaller doc_id.
+Search. Examples are cut into blocks of BLOCK. The HEAD longest lists of postings are kept block by block with each
+block's largest weight of the term, the others as plain lists. For a query the plain lists are summed; those sums and the
+block maxima of the long lists bound every block. Blocks of the largest bounds are finished first, and those that can't
+beat the k-th best cosine so far are left out. So the K nearest examples are exact; ties go to the smaller doc_id.
+Queries go in batches, so that a block's long lists are one matrix product for all that need it.
 
 Score. Votes of the neighbours are weighted by 1 / (distance + 0.05), distance being 1 - cosine; a share of the weight
 is kept for the rate of toxic examples (the prior), so that weak evidence stays weak; an example counts for as many
@@ -25,13 +27,13 @@ kept.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +46,12 @@ FLOOR = 0.01
 #: Groups of terms whose document frequencies are summed apart.
 SLOTS = 64
 TOXIC_FROM = 0.7
-#: Words and texts whose terms and neighbours a worker keeps; a full store is emptied, which changes no result.
-CACHE_WORDS, CACHE_TEXTS = 300_000, 5_000
+#: Terms whose weights are matrices. Queries and postings that a worker holds at once; characters of texts.
+HEAD, QUERIES, POSTINGS, CHUNK = 512, 128, 1_000_000, 1_000_000
+#: Below the k-th best by this a cosine may still round to the same.
+SLACK = 2e-12
+#: Words whose terms a worker keeps; a full store is emptied, which changes no result.
+CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -76,89 +82,143 @@ def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Examples as unit vectors, by term, with the largest weight of each block of examples."""
+    """Examples as unit vectors, by term, in blocks of BLOCK examples.
+
+    Terms of the HEAD longest lists are matrices, one per block, with the largest weight of each term in the block; the
+    other terms are lists of postings.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.ids, self.blocks = ids, -(-len(ids) // BLOCK)
-        size = [len(at) for at, _ in vectors]
+        self.ids, self.blocks = ids, max(1, -(-len(ids) // BLOCK))
         term = np.concatenate([np.zeros(0, dtype=np.int64), *(at for at, _ in vectors)])
         weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
-        doc = np.repeat(np.arange(len(ids)), size)
+        doc = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
+        longest = np.argsort(-np.bincount(term, minlength=n_terms), kind="stable")[:HEAD]
+        self.column = np.full(n_terms, -1, dtype=np.int32)
+        self.column[longest] = np.arange(len(longest))
+        inside = self.column[term] >= 0
+        head = np.zeros((self.blocks * BLOCK, len(longest)))
+        head[doc[inside], self.column[term[inside]]] = weight[inside]
+        self.head = head.reshape(self.blocks, BLOCK, -1)
+        self.head_max = self.head.max(axis=1, initial=0.0)
+        term, doc, weight = term[~inside], doc[~inside], weight[~inside]
         order = np.argsort(term, kind="stable")  # postings by term, then by example
-        term, self.docs, self.weights = term[order], doc[order].astype(np.int32), weight[order]
-        # runs of postings of one term in one block: where they begin, their block and largest weight; each term's runs
-        key = term * max(1, self.blocks) + self.docs // BLOCK
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        self.run_start = np.append(first, len(key)).astype(np.int32)
-        self.run_block = (self.docs[first] // BLOCK).astype(np.int32)
-        self.run_max = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
-        self.runs_of = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
+        self.docs, self.weights = doc[order].astype(np.int32), weight[order]
+        self.starts = np.searchsorted(term[order], np.arange(n_terms + 1))
 
     def search(self, at: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a cosine above 0; `without` is left out."""
-        begin, end = self.runs_of[at].astype(np.int64), self.runs_of[at + 1].astype(np.int64)
-        runs, share = _ranges(begin, end), np.repeat(weight, end - begin)
-        block = self.run_block[runs]
-        bound = np.bincount(block, share * self.run_max[runs], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        best_doc, best = np.zeros(0, dtype=np.int64), np.zeros(0)
+        _, doc, cosine = self.search_all(np.array([0, len(at)]), at, weight, k, np.array([without]))
+        return doc, cosine
+
+    def search_all(self, begins: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for many queries, each from one of `begins` to the next: numbers of queries, positions and cosines."""
+        lists = np.where(self.column[at] < 0, self.starts[at + 1] - self.starts[at], 0)
+        read = np.concatenate(([0], np.cumsum(lists)))[begins]
+        parts, first = [], 0
+        while first < len(begins) - 1:  # as many as keep the postings at hand few
+            last = min(first + QUERIES, max(first + 1, int(np.searchsorted(read, read[first] + POSTINGS, side="right")) - 1))
+            mine = slice(begins[first], begins[last])
+            row, doc, cosine = self._search(begins[first : last + 1] - begins[first], at[mine], weight[mine], k, None if without is None else without[first:last])
+            parts.append((row + first, doc, cosine))
+            first = last
+        none = np.zeros(0, dtype=np.int64)
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none, none, np.zeros(0))
+
+    def _search(self, begins: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, without: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, blocks = len(begins) - 1, self.blocks
+        row = np.repeat(np.arange(n), np.diff(begins))
+        column = self.column[at]
+        often = column >= 0
+        query = np.zeros((n, self.head_max.shape[1]))
+        query[row[often], column[often]] = weight[often]
+        at, row, weight = at[~often], row[~often], weight[~often]
+        found, held = _ranges(self.starts[at], self.starts[at + 1]), self.starts[at + 1] - self.starts[at]
+        cell = np.repeat(row * (blocks * BLOCK), held) + self.docs[found]
+        total = np.bincount(cell, np.repeat(weight, held) * self.weights[found], minlength=n * blocks * BLOCK).astype(np.float64).reshape(n, blocks, BLOCK)
+        if without is not None:
+            out = np.flatnonzero(without >= 0)
+            total[out, without[out] // BLOCK, without[out] % BLOCK] = -np.inf
+        # no example of a block has a larger cosine: the lists are summed, the matrices bounded by their largest weights
+        bound = query @ self.head_max.T + total.max(axis=2)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        whole = np.zeros((n, blocks), dtype=bool)
+        best = np.zeros((n, k))
         place, size = 0, 4
-        while place < len(order) and bound[order[place]] > 0:
-            step = order[place : place + size]
-            # bounds fall from here on
-            step = step[bound[step] >= (best[-1] - 1e-12 if len(best) >= k else 1e-300)]
-            if not len(step):
+        while place < blocks:
+            step = order[:, place : place + size]
+            limit = np.take_along_axis(bound, step, axis=1)
+            who, which = np.nonzero((limit > 0) & (limit >= best[:, :1] - SLACK))
+            if not len(who):
                 break
+            mine = step[who, which]
+            by = np.argsort(mine, kind="stable")
+            for some in np.split(by, np.flatnonzero(np.diff(mine[by])) + 1):
+                block, rows = mine[some[0]], who[some]
+                total[rows, block] += query[rows] @ self.head[block].T
+            whole[who, mine] = True
+            new = np.where(np.take_along_axis(whole, step, axis=1)[:, :, None], np.take_along_axis(total, step[:, :, None], axis=1), 0).reshape(n, -1)
+            both = np.concatenate((best, new), axis=1)
+            best = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]  # the k-th best comes first
             place, size = place + size, 4 * size
-            chosen = np.zeros(self.blocks, dtype=bool)
-            chosen[step] = True
-            some = chosen[block]
-            start, stop = self.run_start[runs[some]].astype(np.int64), self.run_start[runs[some] + 1].astype(np.int64)
-            found = _ranges(start, stop)
-            total = np.bincount(self.docs[found], np.repeat(share[some], stop - start) * self.weights[found], minlength=len(self.ids))
-            if 0 <= without:
-                total[without] = 0
-            more = np.flatnonzero(total)
-            doc, cosine = np.concatenate((best_doc, more)), np.concatenate((best, np.round(total[more], 12)))
-            if len(doc) > 4 * k:  # none below the k-th is sorted
-                some = cosine >= np.partition(cosine, len(cosine) - k)[len(cosine) - k]
-                doc, cosine = doc[some], cosine[some]
-            top = np.lexsort((self.ids[doc], -cosine))[:k]
-            best_doc, best = doc[top], cosine[top]
-        return best_doc, best
+        total[~whole] = 0
+        row, doc = np.nonzero((total > 0).reshape(n, -1) & (total >= best[:, :1, None] - SLACK).reshape(n, -1))
+        cosine = np.round(total.reshape(n, -1)[row, doc], 12)
+        by = np.lexsort((self.ids[doc], -cosine, row))
+        row, doc, cosine = row[by], doc[by], cosine[by]
+        top = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return row[top], doc[top], cosine[top]
+
+
+class Words(dict):
+    """Numbers of words, given on first sight, with the terms of each: its own and its stems, -1 for those not known."""
+
+    def __init__(self, terms: dict[str, int]):
+        super().__init__()
+        self.terms, self.of = terms, np.zeros((1024, 4), dtype=np.int32)
+
+    def __missing__(self, word: str) -> int:
+        number = len(self)
+        if number == len(self.of):
+            self.of = np.concatenate((self.of, np.zeros_like(self.of)))
+        found = [self.terms.get(t, -1) for t in (word, *stems_of(word))]
+        self.of[number] = found + [-1] * (4 - len(found))
+        self[word] = number
+        return number
+
+    def __reduce__(self):
+        return Words, (self.terms,)
 
 
 class Model:
     """Vocabulary, weights of its terms, index, labels, prior and calibration."""
 
-    def __init__(self, terms: list[str], term_weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, tfs: list[dict[int, int]], per_example: tuple[float, float] = (1.0, 1.0)):
+    def __init__(self, terms: list[str], term_weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, tfs: list[tuple[np.ndarray, np.ndarray]], per_example: tuple[float, float] = (1.0, 1.0)):
+        """tfs: of each example the numbers of its terms and how often it has them."""
         self.per_example = np.array(per_example)
         self.terms, self.term_weight = {t: k for k, t in enumerate(terms)}, term_weight
-        order = np.lexsort((labels, ids))
-        ids, labels, tfs = ids[order], labels[order], [tfs[k] for k in order.tolist()]
-        vectors = [self.vector(tf) for tf in tfs]
-        some = np.array([len(at) > 0 for at, _ in vectors], dtype=bool)
-        self.labels = labels[some]
-        self.index = BlockMaxIndex(ids[some], [v for v, s in zip(vectors, some, strict=True) if s], len(terms))
+        self.is_stem = np.array([t.endswith("*") for t in terms], dtype=bool)
+        self.words = Words(self.terms)
+        order = np.array([k for k in np.lexsort((labels, ids)).tolist() if len(tfs[k][0])], dtype=np.int64)
+        self.labels = labels[order]
+        begins, at, weight = self.vectors(np.repeat(np.arange(len(order)), [len(tfs[k][0]) for k in order]), *(np.concatenate([np.zeros(0, dtype=np.int64), *(tfs[k][i] for k in order)]) for i in (0, 1)), len(order))
+        self.index = BlockMaxIndex(ids[order], [(at[a:b], weight[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)], len(terms))
         self.prior = float((self.per_example[labels] * labels).sum() / self.per_example[labels].sum()) if len(labels) else 0.0
         self.slope, self.offset = 1.0, 0.0
-        self.known: dict[str, tuple[int | None, tuple[int, ...]]] = {}
-        votes = np.array([self.vote(*self.index.search(at, w, K, n)) for n, (at, w) in enumerate(v for v, s in zip(vectors, some, strict=True) if s)])
-        if len(votes) and 0 < self.labels.sum():
+        if 0 < self.labels.sum():
+            votes = self.votes(len(order), *self.index.search_all(begins, at, weight, K, np.arange(len(order))))
             self._calibrate(np.append(votes, [0.0, 1.0]), np.append(self.labels, [0, 1]))
-        self.seen: dict[bytes, tuple[float, list]] = {}
 
-    def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.fromiter(tf.keys(), np.int64, len(tf))
-        order = np.argsort(at)
-        at, n = at[order], np.fromiter(tf.values(), float, len(tf))[order]
-        weight = (1 + np.log(n)) * self.term_weight[at] if len(at) else np.zeros(0)
-        return at, weight / np.sqrt((weight**2).sum()) if len(at) else weight
+    def vectors(self, row: np.ndarray, at: np.ndarray, n: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit vectors of rows: where each begins (and the end), terms and weights."""
+        weight = (1 + np.log(n)) * self.term_weight[at]
+        length = np.sqrt(np.bincount(row, weight**2, minlength=rows))
+        return np.searchsorted(row, np.arange(rows + 1)), at, weight / length[row]
 
-    def vote(self, docs: np.ndarray, cosine: np.ndarray) -> float:
-        """Weighted share of toxic neighbours, with the prior as one distant neighbour."""
+    def votes(self, rows: int, row: np.ndarray, docs: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        """Weighted share of toxic neighbours of each row, with the prior as one distant neighbour."""
         weight = self.per_example[self.labels[docs]] / (1.05 - np.minimum(1.0, cosine))
-        return float(((weight * self.labels[docs]).sum() + self.prior) / (weight.sum() + 1))
+        return (np.bincount(row, weight * self.labels[docs], minlength=rows) + self.prior) / (np.bincount(row, weight, minlength=rows) + 1)
 
     def _calibrate(self, votes: np.ndarray, labels: np.ndarray) -> None:
         """A rising logistic curve over the votes' log-odds, by Newton steps with a little shrinkage."""
@@ -175,39 +235,47 @@ class Model:
                 break
         self.slope, self.offset = max(0.1, float(beta[0])), float(beta[1])
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        """How often each term of the vocabulary is in the text."""
-        out: dict[int, int] = {}
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, terms = self.known, self.terms
-        stems: dict[int, int] = {}
-        for word, n in Counter(words(text)).items():
-            found = known.get(word)
-            if found is None:
-                found = known[word] = (terms.get(word), tuple(terms[t] for t in stems_of(word) if t in terms)) if terms else (None, ())
-            own, more = found
-            if own is not None:
-                out[own] = n
-            for t in more:
-                stems[t] = stems.get(t, 0) + n
-        return out | {t: n - 1 for t, n in stems.items() if n > 1}
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        """Score and evidence: doc_id, cosine and label of the nearest examples."""
-        tf = self.counts(text)
-        if not tf:
-            return self.prior, []
-        at, weight = self.vector(tf)
-        key = hashlib.blake2b(at.tobytes() + weight.tobytes(), digest_size=16).digest()
-        if key not in self.seen:
-            if len(self.seen) > CACHE_TEXTS:
-                self.seen.clear()
-            docs, cosine = self.index.search(at, weight, K)
-            vote = min(1 - 1e-4, max(1e-4, self.vote(docs, cosine)))
-            found = 1 / (1 + np.exp(-(self.slope * np.log(vote / (1 - vote)) + self.offset))) if len(docs) else self.prior
-            self.seen[key] = float(found), list(zip(self.index.ids[docs].tolist(), cosine.tolist(), self.labels[docs].tolist(), strict=True))
-        return self.seen[key]
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of the vocabulary in texts: numbers of texts (rising), terms (rising in a text), how often."""
+        if len(self.words) > CACHE_WORDS:
+            self.words = Words(self.terms)
+        number = self.words.__getitem__
+        each = [np.fromiter(map(number, w), np.int64, len(w)) for w in map(words, texts)]
+        of_word = self.words.of[np.concatenate([np.zeros(0, dtype=np.int64), *each])]
+        row = np.repeat(np.arange(len(texts)), [len(e) for e in each])
+        known = of_word >= 0
+        # a stem's words are all its occurrences, so one count of pairs serves words and stems
+        key, n = np.unique((row[:, None] * len(self.terms) + of_word)[known], return_counts=True)
+        row, at = np.divmod(key, max(1, len(self.terms)))
+        n = n - self.is_stem[at]  # a stem counts from its second word on
+        return row[n > 0], at[n > 0], n[n > 0]
+
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of texts, and the evidence: numbers of texts (rising), positions of the nearest examples, cosines."""
+        found, first = [], 0
+        for last in _cuts(texts):
+            rows = last - first
+            row, docs, cosine = self.index.search_all(*self.vectors(*self.counts(texts[first:last]), rows), K)
+            vote = np.clip(self.votes(rows, row, docs, cosine), 1e-4, 1 - 1e-4)
+            scores = 1 / (1 + np.exp(-(self.slope * np.log(vote / (1 - vote)) + self.offset)))
+            scores[np.bincount(row, minlength=rows) == 0] = self.prior
+            found.append((scores, row + first, docs, cosine))
+            first = last
+        none = np.zeros(0, dtype=np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0), none, none, np.zeros(0))
+
+
+def _cuts(texts: list[str | None]) -> Iterator[int]:
+    """Ends of runs of texts of about CHUNK characters (a longer text is alone)."""
+    held = 0
+    for k, t in enumerate(texts):
+        n = len(t) if t else 0
+        if held and held + n > CHUNK:
+            yield k
+            held = 0
+        held += max(1, n)
+    if texts:
+        yield len(texts)
 
 
 def gains(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int) -> np.ndarray:
@@ -226,8 +294,10 @@ def _document_frequencies(docs: DataFrame, chosen: list[str]) -> np.ndarray:
     def of_task(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df = np.zeros(len(chosen), dtype=np.int64)
         for part in parts:
-            for text in part["text"]:
-                df[list(counter.counts(text))] += 1
+            texts, first = part["text"].tolist(), 0
+            for last in _cuts(texts):
+                df += np.bincount(counter.counts(texts[first:last])[1], minlength=len(chosen))
+                first = last
         yield pd.DataFrame([{"slot": k} | packed(df[edges[k] : edges[k + 1]]) for k in range(SLOTS) if df[edges[k] : edges[k + 1]].any()], columns=["slot", "at", "n"])
 
     def summed(part: pd.DataFrame) -> pd.DataFrame:
@@ -257,7 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     of_label = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     taken = Counter(r["toxic"] for r in picked)
     stands_for = tuple(of_label.get(x, 1) / max(1, taken[x]) for x in (0, 1))
-    none = Model([], np.zeros(0), np.array([r["doc_id"] for r in picked], dtype=np.int64), np.array([r["toxic"] for r in picked], dtype=np.int64), [{} for _ in picked], stands_for)
+    none = Model([], np.zeros(0), np.array([r["doc_id"] for r in picked], dtype=np.int64), np.array([r["toxic"] for r in picked], dtype=np.int64), [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(picked), stands_for)
     toxic = sum(r["toxic"] for r in picked)
     if not 0 < toxic < len(picked):
         return none
@@ -277,11 +347,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
         return none
     chosen = sorted(set().union(*(r["terms"].split() for r in rows)))
     place = {t: k for k, t in enumerate(chosen)}
-    tfs = [dict(zip([place[t] for t in r["terms"].split()], np.frombuffer(r["n"], "<i4").tolist(), strict=True)) for r in rows]
+    tfs = []
+    for r in rows:
+        at = np.fromiter((place[t] for t in r["terms"].split()), np.int64)
+        order = np.argsort(at)
+        tfs.append((at[order], np.frombuffer(r["n"], "<i4")[order]))
     marks = np.array([r["toxic"] for r in rows], dtype=np.int64)
     seen = np.zeros((2, len(chosen)))
-    for tf, x in zip(tfs, marks.tolist(), strict=True):
-        seen[x, list(tf)] += 1
+    for (at, _), x in zip(tfs, marks.tolist(), strict=True):
+        seen[x, at] += 1
     gain = gains(seen[1], seen[0], int(marks.sum()), int((1 - marks).sum()))
     relevance = FLOOR + gain / gain.max() if gain.max() > 1e-9 else np.ones(len(chosen))
     idf = np.log((1 + docs.count()) / (1 + _document_frequencies(docs, chosen))) + 1
@@ -292,11 +366,15 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity"
     """df with the struct `out`: score, predicted (1 from TOXIC_FROM on) and evidence."""
     small_batches(df.sparkSession)
 
-    @F.pandas_udf("score double, evidence array<struct<doc_id: long, cosine: double, label: int>>")
-    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in parts:
-            found = [model.score(t) for t in texts.tolist()]
-            yield pd.DataFrame({"score": [s for s, _ in found], "evidence": [[{"doc_id": d, "cosine": c, "label": x} for d, c, x in e] for _, e in found]})
+    form = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])))])
+
+    @F.arrow_udf("score double, evidence array<struct<doc_id: long, cosine: double, label: int>>")
+    def predict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            scores, row, docs, cosine = model.score(part.to_pylist())
+            near = pa.StructArray.from_arrays([pa.array(model.index.ids[docs]), pa.array(cosine), pa.array(model.labels[docs], pa.int32())], fields=list(form[1].type.value_type))
+            begins = pa.array(np.searchsorted(row, np.arange(len(scores) + 1)), pa.int32())
+            yield pa.StructArray.from_arrays([pa.array(scores), pa.ListArray.from_arrays(begins, near)], fields=list(form))
 
     scored = df.withColumn(out, predict(F.col(text)))
     return scored.withColumn(out, F.col(out).withField("predicted", F.when(F.col(f"{out}.score") >= TOXIC_FROM, 1).otherwise(0)))

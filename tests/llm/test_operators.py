@@ -431,3 +431,37 @@ def test_toxicity_weighs_all_terms_of_few_examples(spark):
     assert [got[100].evidence[0].doc_id, got[101].evidence[0].doc_id] == [7, 2] and min(got[k].evidence[0].cosine for k in (100, 101)) > 0.999999
     assert min(got[101].score, got[102].score) > 0.5 > got[100].score
     assert {e.doc_id for e in got[102].evidence[:5]} == set(range(5))
+
+
+def test_toxicity_against_brute_force(spark):
+    """Score and evidence of every text, ties, repeated rows and a very long text too, from plain dictionaries."""
+    rng = random.Random(17)
+    rows = [(i, prose(rng, "abcdefgh", rng.randint(4, 40)) + " scum" * (i % 7 == 0)) for i in range(220)]
+    rows += [(300, rows[7][1]), (301, rows[7][1]), (301, rows[7][1]), (302, prose(rng, "abcdefgh", 30_000) + " scum"), (303, None), (304, ""), (305, "zzz 12")]
+    docs = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, evidence string")
+    marks = spark.createDataFrame([(i, int(i % 7 == 0)) for i in [*range(150), 300, 301]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks, F.lit(True))
+    texts = dict(rows)
+    examples = {i: int(i % 7 == 0) for i in [*range(150), 300, 301]}
+    df = {t: sum(t in toxicity.terms(x) for _, x in rows) for t in model.terms}
+    seen = np.array([[sum(t in toxicity.terms(texts[i]) for i, y in examples.items() if y == side) for t in model.terms] for side in (1, 0)], dtype=float)
+    gain = toxicity.gains(seen[0], seen[1], sum(examples.values()), len(examples) - sum(examples.values()))
+    weight = {t: (np.log((1 + len(rows)) / (1 + df[t])) + 1) * (0.01 + g / gain.max()) for t, g in zip(model.terms, gain, strict=True)}
+
+    def vector(text):
+        v = {t: (1 + np.log(n)) * weight[t] for t, n in toxicity.terms(text).items() if t in weight}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = {i: vector(texts[i]) for i in examples}
+    prior = sum(examples.values()) / len(examples)
+    for r in toxicity.score(docs, model, out="t").collect():
+        v = vector(r.text)
+        cosine = {i: round(sum(x * w.get(t, 0) for t, x in v.items()), 12) for i, w in vectors.items()}
+        near = sorted((i for i in cosine if cosine[i] > 0), key=lambda i: (-cosine[i], i))[: toxicity.K]
+        assert [e.doc_id for e in r.t.evidence] == near or sorted(round(cosine[i], 9) for i in near) == sorted(round(cosine[e.doc_id], 9) for e in r.t.evidence)
+        assert all(abs(e.cosine - cosine[e.doc_id]) < 1e-9 and e.label == examples[e.doc_id] for e in r.t.evidence)
+        share = [1 / (1.05 - min(1, cosine[i])) for i in near]
+        vote = min(1 - 1e-4, (sum(s * examples[i] for s, i in zip(share, near, strict=True)) + prior) / (sum(share) + 1))
+        want = 1 / (1 + np.exp(-(model.slope * np.log(vote / (1 - vote)) + model.offset))) if near else prior
+        assert abs(r.t.score - want) < 1e-6 and r.t.predicted == int(r.t.score >= 0.7)
