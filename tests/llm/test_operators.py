@@ -443,8 +443,10 @@ def test_toxicity_against_brute_force(spark):
     model = toxicity.fit(docs, marks, F.lit(True))
     texts = dict(rows)
     examples = {i: int(i % 7 == 0) for i in [*range(150), 300, 301]}
-    df = {t: sum(t in toxicity.terms(x) for _, x in rows) for t in model.terms}
-    seen = np.array([[sum(t in toxicity.terms(texts[i]) for i, y in examples.items() if y == side) for t in model.terms] for side in (1, 0)], dtype=float)
+    has = [toxicity.terms(x) for _, x in rows]
+    held = {i: toxicity.terms(texts[i]) for i in examples}
+    df = {t: sum(t in x for x in has) for t in model.terms}
+    seen = np.array([[sum(t in held[i] for i, y in examples.items() if y == side) for t in model.terms] for side in (1, 0)], dtype=float)
     gain = toxicity.gains(seen[0], seen[1], sum(examples.values()), len(examples) - sum(examples.values()))
     weight = {t: (np.log((1 + len(rows)) / (1 + df[t])) + 1) * (0.01 + g / gain.max()) for t, g in zip(model.terms, gain, strict=True)}
 
