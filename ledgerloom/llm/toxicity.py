@@ -48,16 +48,19 @@ SLOTS = 64
 TOXIC_FROM = 0.7
 #: Terms whose weights are matrices. Queries and postings that a worker holds at once; characters of texts.
 HEAD, QUERIES, POSTINGS, CHUNK = 512, 128, 1_000_000, 1_000_000
-#: Below the k-th best by this a cosine may still round to the same.
-SLACK = 2e-12
+#: Above the rounding of cosines summed in 32 bits.
+SLACK = 1e-5
 #: Words whose terms a worker keeps; a full store is emptied, which changes no result.
 CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
+_NOT_LETTERS = {k: " " for k in range(128) if not chr(k).isalpha()}
 
 
 def words(text: str | None) -> list[str]:
     """Runs of letters, in lower case."""
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    return text.lower().translate(_NOT_LETTERS).split() if text.isascii() else _WORD.findall(text.lower())
 
 
 def stems_of(word: str) -> list[str]:
@@ -99,8 +102,9 @@ class BlockMaxIndex:
         inside = self.column[term] >= 0
         head = np.zeros((self.blocks * BLOCK, len(longest)))
         head[doc[inside], self.column[term[inside]]] = weight[inside]
-        self.head = head.reshape(self.blocks, BLOCK, -1)
-        self.head_max = self.head.max(axis=1, initial=0.0)
+        self.head = head
+        self.rough = head.astype(np.float32).reshape(self.blocks, BLOCK, -1)  # of 32 bits, to choose; cosines are summed in 64
+        self.head_max = self.rough.max(axis=1, initial=0.0)
         term, doc, weight = term[~inside], doc[~inside], weight[~inside]
         order = np.argsort(term, kind="stable")  # postings by term, then by example
         self.docs, self.weights = doc[order].astype(np.int32), weight[order]
@@ -140,10 +144,11 @@ class BlockMaxIndex:
             out = np.flatnonzero(without >= 0)
             total[out, without[out] // BLOCK, without[out] % BLOCK] = -np.inf
         # no example of a block has a larger cosine: the lists are summed, the matrices bounded by their largest weights
-        bound = query @ self.head_max.T + total.max(axis=2)
+        rough = query.astype(np.float32)
+        bound = rough @ self.head_max.T + total.max(axis=2)
         order = np.argsort(-bound, axis=1, kind="stable")
-        whole = np.zeros((n, blocks), dtype=bool)
-        best = np.zeros((n, k))
+        near = np.zeros((n, blocks, BLOCK), dtype=np.float32)
+        best = np.zeros((n, k), dtype=np.float32)
         place, size = 0, 4
         while place < blocks:
             step = order[:, place : place + size]
@@ -155,15 +160,16 @@ class BlockMaxIndex:
             by = np.argsort(mine, kind="stable")
             for some in np.split(by, np.flatnonzero(np.diff(mine[by])) + 1):
                 block, rows = mine[some[0]], who[some]
-                total[rows, block] += query[rows] @ self.head[block].T
-            whole[who, mine] = True
-            new = np.where(np.take_along_axis(whole, step, axis=1)[:, :, None], np.take_along_axis(total, step[:, :, None], axis=1), 0).reshape(n, -1)
-            both = np.concatenate((best, new), axis=1)
+                near[rows, block] = rough[rows] @ self.rough[block].T + total[rows, block]
+            both = np.concatenate((best, np.take_along_axis(near, step[:, :, None], axis=1).reshape(n, -1)), axis=1)
             best = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]  # the k-th best comes first
             place, size = place + size, 4 * size
-        total[~whole] = 0
-        row, doc = np.nonzero((total > 0).reshape(n, -1) & (total >= best[:, :1, None] - SLACK).reshape(n, -1))
-        cosine = np.round(total.reshape(n, -1)[row, doc], 12)
+        row, doc = np.nonzero((near > 0).reshape(n, -1) & (near >= best[:, :1, None] - SLACK).reshape(n, -1))
+        cosine = total.reshape(n, -1)[row, doc]
+        for a in range(0, len(row), 4096):
+            some = slice(a, a + 4096)
+            cosine[some] += np.einsum("ij,ij->i", query[row[some]], self.head[doc[some]])
+        cosine = np.round(cosine, 12)
         by = np.lexsort((self.ids[doc], -cosine, row))
         row, doc, cosine = row[by], doc[by], cosine[by]
         top = np.arange(len(row)) - np.searchsorted(row, row) < k
