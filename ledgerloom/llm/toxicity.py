@@ -28,6 +28,7 @@ kept.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,7 +51,7 @@ TOXIC_FROM = 0.7
 HEAD, QUERIES, POSTINGS, CHUNK = 512, 128, 1_000_000, 1_000_000
 #: Above the rounding of cosines summed in 32 bits.
 SLACK = 1e-5
-#: Words whose terms a worker keeps; a full store is emptied, which changes no result.
+#: Words besides the vocabulary whose terms a worker keeps; a full store is emptied, which changes no result.
 CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 _NOT_LETTERS = {k: " " for k in range(128) if not chr(k).isalpha()}
@@ -64,7 +65,7 @@ def words(text: str | None) -> list[str]:
 
 
 def stems_of(word: str) -> list[str]:
-    """The beginnings of a word, marked by a star."""
+    """The beginnings of a word, shortest first, marked by a star."""
     return [word[:n] + "*" for n in (5, 6, 7) if len(word) > n]
 
 
@@ -177,23 +178,48 @@ class BlockMaxIndex:
 
 
 class Words(dict):
-    """Numbers of words, given on first sight, with the terms of each: its own and its stems, -1 for those not known."""
+    """Numbers of words: those of the vocabulary, and others on first sight. A number's terms are a word's own one and
+    its stems, -1 for those not known; number 0 is all words without a term.
+    """
 
     def __init__(self, terms: dict[str, int]):
         super().__init__()
-        self.terms, self.of = terms, np.zeros((1024, 4), dtype=np.int32)
+        self.terms, self.flat = terms, array("i", [-1] * 4)
+        for word in terms:
+            if not word.endswith("*"):
+                self[word]  # noqa: B018
+        self.vocabulary = dict(self), self.flat.tobytes()
 
     def __missing__(self, word: str) -> int:
-        number = len(self)
-        if number == len(self.of):
-            self.of = np.concatenate((self.of, np.zeros_like(self.of)))
-        found = [self.terms.get(t, -1) for t in (word, *stems_of(word))]
-        self.of[number] = found + [-1] * (4 - len(found))
-        self[word] = number
+        get = self.terms.get
+        own = get(word, -1)
+        stem = get(word[:5] + "*", -1) if len(word) > 5 else -1
+        if own < 0 and stem < 0:  # who has two words of a longer stem has two of the shortest one
+            self[word] = 0
+            return 0
+        n = len(word)
+        number = self[word] = len(self.flat) // 4
+        self.flat.extend((own, stem, get(word[:6] + "*", -1) if n > 6 else -1, get(word[:7] + "*", -1) if n > 7 else -1))
         return number
 
+    def terms_of(self, numbers: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.flat, dtype=np.int32).reshape(-1, 4)[numbers]
+
+    def forget(self) -> None:
+        """Keep the vocabulary alone."""
+        self.clear()
+        self.update(self.vocabulary[0])
+        self.flat = array("i", self.vocabulary[1])
+
     def __reduce__(self):
-        return Words, (self.terms,)
+        return Words._of, (self.terms, self.vocabulary)
+
+    @classmethod
+    def _of(cls, terms: dict[str, int], vocabulary: tuple[dict[str, int], bytes]) -> Words:
+        out = cls.__new__(cls)
+        out.terms, out.vocabulary = terms, vocabulary
+        out.forget()
+        return out
 
 
 class Model:
@@ -243,11 +269,11 @@ class Model:
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms of the vocabulary in texts: numbers of texts (rising), terms (rising in a text), how often."""
-        if len(self.words) > CACHE_WORDS:
-            self.words = Words(self.terms)
+        if len(self.words) > len(self.terms) + CACHE_WORDS:
+            self.words.forget()
         number = self.words.__getitem__
         each = [np.fromiter(map(number, w), np.int64, len(w)) for w in map(words, texts)]
-        of_word = self.words.of[np.concatenate([np.zeros(0, dtype=np.int64), *each])]
+        of_word = self.words.terms_of(np.concatenate([np.zeros(0, dtype=np.int64), *each]))
         row = np.repeat(np.arange(len(texts)), [len(e) for e in each])
         known = of_word >= 0
         # a stem's words are all its occurrences, so one count of pairs serves words and stems
