@@ -25,7 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -50,25 +50,27 @@ def _pack_block(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    count = np.ones(n, dtype=np.int64)
+    count = np.ones(n, dtype=np.int32)
     selector = np.zeros(n, dtype=np.uint8)
     top = int(ids.max())
-    place = np.arange(n)
+    narrow = ids.astype(np.uint32) if top < 1 << 32 else ids  # half the memory to go through
+    place = np.arange(n, dtype=np.int32)
+    end = np.int32(n)
     for s in range(15, 1, -1):  # from few wide ids to many narrow ones; the last that fits holds most
         limit = 1 << BITS[s]
         if top < limit:
             fits = n - place
         else:
-            stop = np.where(ids >= np.uint64(limit), place, n)
+            stop = np.where(narrow >= narrow.dtype.type(limit), place, end)
             fits = np.minimum.accumulate(stop[::-1])[::-1] - place
-            if not fits.max():
-                break  # narrower ones fit nowhere either
+            if fits.max() < COUNTS[s]:
+                break  # narrower ones need more ids and fit fewer
         ok = fits >= COUNTS[s]
         count[ok] = COUNTS[s]
         selector[ok] = s
     zeros = None
-    if not int(ids.min()):
-        stop = np.where(ids != 0, place, n)
+    if not int(narrow.min()):
+        stop = np.where(narrow != 0, place, end)
         zeros = np.minimum.accumulate(stop[::-1])[::-1] - place
         run = zeros > 60
         count[run], selector[run] = zeros[run], 1
@@ -168,6 +170,18 @@ def read_segments(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         yield docs[:, 0], docs[:, 1], ids
 
 
+class _Store(dict):
+    """Values by key, each made on first sight."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordTokenizer:
     """Ids by the tokenizers library. Its model runs once for each distinct piece.
 
@@ -191,11 +205,10 @@ class WordTokenizer:
         letters = byte_letters()
         self.letters = {chr(b): letters[b] for b in range(128)}
         self.all_letters = letters
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces, self.words, self.chunks = _Store(self._piece), _Store(self._word), _Store(self._chunk)
         #: Characters for which this class doesn't cut text itself, and openings of special tokens.
         self.other = re.compile("[^\t-\r -ſ]|[\x7f-\xbf]|<\\|")
+        self.ascii = bytes([*range(9, 14), *range(32, 127)])
         self.pattern = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+|[0-9]|[^\\sa-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+")
 
     @staticmethod
@@ -211,40 +224,36 @@ class WordTokenizer:
         return kinds == ["NFC", "Replace", "Lowercase"] and len(cut) == 2 and cut[0].get("pattern", {}).get("Regex") == pattern and not any(t["lstrip"] or t["rstrip"] or not t["content"].startswith("<|") for t in data["added_tokens"])
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            spelt = word if word.isascii() else "".join(self.all_letters[b] for b in word.encode())
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
-        return ids
+        spelt = word if word.isascii() else "".join(self.all_letters[b] for b in word.encode())
+        return np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if piece.isalpha():
-            ids = self._word(piece)
-        elif piece[:-1].isalpha() and piece[-1] in ".,;:!?":
-            ids = self._word(piece[:-1]) + self._word(piece[-1])
-        else:
-            ids = b"".join(map(self._word, self.pattern.findall(piece)))
-        self.known[piece] = ids
-        return ids
+            return self.words[piece]
+        if piece[:-1].isalpha() and piece[-1] in ".,;:!?":
+            return self.words[piece[:-1]] + self.words[piece[-1]]
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(piece)))
+
+    def _is_cut_here(self, text: str) -> bool:
+        if text.isascii():
+            return "<|" not in text and not text.encode().translate(None, self.ascii)
+        return self.other.search(text) is None
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return ids
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text."""
-        for store in (self.known, self.words, self.chunks):
+        for store in (self.pieces, self.words, self.chunks):
             if len(store) > self.CACHE_PIECES:
                 store.clear()
         if not self.plain_ok:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        if self.other.search(text) is None:
-            get, make = self.known.get, self._piece
-            parts = text.lower().split()
+        if self._is_cut_here(text):
+            store, parts = self.pieces, text.lower().split()
         else:
-            get, make = self.chunks.get, self._chunk
-            parts = [x for x in re.split("[\t-\r ]+", text) if x]
-        return np.frombuffer(b"".join([get(x) or make(x) for x in parts]), dtype="<u4")
+            store, parts = self.chunks, [x for x in re.split("[\t-\r ]+", text) if x]
+        return np.frombuffer(b"".join(map(store.__getitem__, parts)), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
