@@ -2,26 +2,58 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made below the shared one and not yet removed, by application.
+_made: dict[str, list[str]] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset (one machine) a local temporary folder."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
+
+    Only where that is unset and one machine does all (master local, as in tests) a local temporary folder takes its
+    place; on a cluster that is an error.
+    """
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not place:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        place = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="ledgerloom-")
-        if not current.isDefined():
+        if current.isDefined():
+            place = current.get()
+        elif re.match(r"local(\[|$)", spark.sparkContext.master):
+            place = tempfile.mkdtemp(prefix="ledgerloom-")
             spark.sparkContext.setCheckpointDir(place)
+        else:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return place.rstrip("/")
 
 
+def new_folder(spark: SparkSession, what: str) -> str:
+    """A path below the shared folder that nothing else uses; release() removes it."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read from there."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    path = new_folder(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Remove what this application has written to the shared folder, but for the paths to keep.
+
+    To be called once results are written: DataFrames that still read such a table can't be used afterwards.
+    """
+    app = spark.sparkContext.applicationId
+    for path in _made.get(app, []):
+        if path not in keep:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _made[app] = [path for path in _made.get(app, []) if path in keep]
