@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, unused
 
 # White space of the tokenizers library's \s, and the pattern that splits text before merging.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -32,8 +32,9 @@ NONE = np.int64(1) << 62
 #: Words of up to so many bytes are merged in step; longer ones one by one. So many words in one step.
 WIDEST, STEP_WORDS = 64, 8192
 
-#: Pieces and words kept per worker; a full store is emptied, which costs time and changes no result.
-CACHE_PIECES = 600_000
+#: Pieces and words kept per worker, and their characters at most, so that the store's bytes are bounded; a full store
+#: is emptied, which costs time and changes no result.
+CACHE_PIECES, CACHE_LONGEST = 600_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -229,7 +230,12 @@ class SegmentTreeBPE:
             self.known.clear()
         self._learn(new - self.known.keys())
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join([x if isinstance(x, bytes) else b"".join(map(get, x)) for x in c]), dtype=np.int32) for c in cut]
+        found = [np.frombuffer(b"".join([x if isinstance(x, bytes) else b"".join(map(get, x)) for x in c]), dtype=np.int32) for c in cut]
+        for piece in [p for p in new if len(p) > CACHE_LONGEST]:
+            for word in (piece, *self.words.findall(piece)):
+                if len(word) > CACHE_LONGEST:
+                    self.known.pop(word, None)
+        return found
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of one text."""
@@ -288,8 +294,13 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
     def bpe_round_trip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(spec)
         for texts in parts:
-            found = codec.encode_batch(texts.tolist())
-            yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "decoded": [codec.decode(x) for x in found]})
-
-    done = df.withColumn("_bpe", bpe_round_trip(F.col(text)))
-    return done.select(*[c for c in df.columns if c not in (ids, decoded)], F.col("_bpe.ids").alias(ids), F.col("_bpe.decoded").alias(decoded))
+            # rows that repeat a text, as a mix does one after another, are encoded once
+            rows = texts.tolist()
+            place = {t: k for k, t in enumerate(dict.fromkeys(rows))}
+            found = codec.encode_batch(list(place))
+            back = [codec.decode(x) for x in found]
+            yield pd.DataFrame({"ids": pd.Series([found[place[t]] for t in rows], dtype=object), "decoded": [back[place[t]] for t in rows]})
+
+    both = unused(df, "bpe")
+    done = df.withColumn(both, bpe_round_trip(F.col(text)))
+    return done.select(*[c for c in df.columns if c not in (ids, decoded)], F.col(f"{both}.ids").alias(ids), F.col(f"{both}.decoded").alias(decoded))

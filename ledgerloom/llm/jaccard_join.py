@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import cells
 from .components import classes, components
-from .shared import settle, small_batches
+from .shared import settle, small_batches, unused
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4
@@ -312,7 +312,8 @@ def keep_one(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     found = join(df, threshold).where("doc_id = class_id").select("doc_id").distinct()
     kept = df.join(found, "doc_id")
-    first = kept.withColumn("_keep_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_keep_n = 1").drop("_keep_n")
+    n = unused(df, "keep_n")
+    first = kept.withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(n) == 1)
     return first.select(*df.columns).unionByName(df.where("doc_id is null"))
 
 

@@ -9,8 +9,9 @@ the median of the documents that training took for the nearest language; so the
 languages, and labels with errors lower it.
 
 Training reads at most SAMPLE documents per language and SAMPLE_ALL in all (beyond SAMPLE_ALL languages the first by
-name are learnt), those of least hash of their id; a document's features are counts in BUCKETS buckets, so what comes
-to the driver is bounded. Prediction reads every text whole.
+name are learnt), those of least hash of their id among the texts with a letter; rows that agree in id, language and
+text count once. A document's features are counts in BUCKETS buckets, so what comes to the driver is bounded.
+Prediction reads every text whole.
 
 Features. Runs of characters other than letters count as one space, letters are in lower case. A text is its share of
 each n-gram, scaled by inverse document frequency in training.
@@ -31,10 +32,10 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, unused
 
 #: Documents that training reads at most: per language, and of all languages together. Buckets of n-grams.
-SAMPLE, SAMPLE_ALL, BUCKETS = 120, 2_000, 1 << 14
+SAMPLE, SAMPLE_ALL, BUCKETS = 250, 4_000, 1 << 14
 #: Gradient steps of training.
 STEPS = 120
 UNKNOWN = "und"
@@ -163,11 +164,12 @@ class Codes:
 
 
 def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Codes:
-    """Train on rows that `learn` chooses. Ids are picked from the narrow columns first, then their texts are read."""
-    rows = df.where(learn & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
-    top = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    """Train on rows that `learn` chooses. Rows are picked by narrow columns first, then their texts are read."""
+    known = df.where(learn & F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    rows = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
+    top = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "hash")
     picked = rows.withColumn("n", F.row_number().over(top)).where(F.col("n") <= sample)
-    picked = picked.orderBy("n", "lang", "doc_id").limit(SAMPLE_ALL).select("doc_id", "lang").collect()
+    picked = {tuple(r) for r in picked.orderBy("n", "lang", "doc_id", "hash").limit(SAMPLE_ALL).select("doc_id", "lang", "hash").collect()}
     if not picked:
         return Codes([], np.zeros((0, BUCKETS)), np.zeros(0, dtype=int))
 
@@ -176,10 +178,11 @@ def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text"
             found = [counts(plain(t)) for t in part["text"]]
             yield pd.DataFrame({"lang": part["lang"], "at": [a.astype("<u2").tobytes() for a, _ in found], "n": [n.astype("<f4").tobytes() for _, n in found]})
 
-    ids = df.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in picked], "_id long, _lang string")
-    chosen = df.join(F.broadcast(ids), (F.col(doc_id) == F.col("_id")) & (F.col(lang) == F.col("_lang")), "left_semi")  # at most SAMPLE_ALL ids
-    # a repeated id brings several texts; the bound holds all the same
-    found = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInPandas(features, "lang string, at binary, n binary").where("length(at) > 0").limit(SAMPLE_ALL).collect()
+    ids = df.sparkSession.createDataFrame(sorted(picked), "doc_id long, lang string, hash long")
+    texts = known.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    # at most SAMPLE_ALL keys; rows that agree in all three are one training document
+    chosen = texts.join(F.broadcast(ids), ["doc_id", "lang", "hash"], "left_semi").groupBy("doc_id", "lang", "hash").agg(F.min("text").alias("text"))
+    found = chosen.select("lang", "text").mapInPandas(features, "lang string, at binary, n binary").where("length(at) > 0").collect()
     found = sorted(found, key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["n"])))
     languages = sorted({r["lang"] for r in found})
     x = np.zeros((len(found), BUCKETS), dtype=np.float32)
@@ -205,6 +208,6 @@ def keep_identified(df: DataFrame, model: Codes) -> DataFrame:
 
     Rows that are only ambiguous stay: where the same text is labelled with two languages the flag holds whole documents.
     """
-    found = identify(df, model, out="_language")
+    out = unused(df, "language")
     least = min(0.3, 1.1 / max(1, len(model.languages)))
-    return found.where((F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least)).select(*df.columns)
+    return identify(df, model, out=out).where((F.col(f"{out}.lang") != UNKNOWN) & (F.col(f"{out}.score") >= least)).select(*df.columns)

@@ -11,7 +11,7 @@ share * all tokens; sources sorted by tokens over weight are capped up to one pl
 
 Defined cases. A null text has no tokens; its source counts all the same. Null source is a source of its own. A
 null doc_id draws as the text "null". Rows with one doc_id draw alike. Sources without tokens have rate 0. An empty
-table gives no rows. Other columns are kept; names in use are never overwritten unless they are the output's own.
+table gives no rows. Other columns are kept, whatever their names; only a column called like the output gives way to it.
 The sums make one row per source and task; the table of rates has one row per source and is joined, never collected.
 """
 
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import unused
+
 #: Digits of the md5 that make the draw; 13 of them fit a double exactly.
 DIGITS = 13
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -72,29 +74,31 @@ def mix(
     text: str = "text",
     source: str = "source",
     doc_id: str = "doc_id",
+    out: str = "mixed",
 ) -> DataFrame:
-    """df with the struct column `mixed`: size, source_size, target, copies (how often the row is taken) and taken."""
-    sized = df.withColumn("_mix_size", words(text))
-    per = rates(sized.select(F.col(source).alias("source"), F.col("_mix_size").alias("size")), weights, share, most)
-    per = per.select(F.struct("source", "source_size", "target", "rate").alias("_mix_rate"))
-    joined = sized.join(per, F.col(source).eqNullSafe(F.col("_mix_rate.source")), "left")
-    rate = F.col("_mix_rate.rate")
+    """df with the struct column `out`: size, source_size, target, copies (how often the row is taken) and taken."""
+    size, found = unused(df, "mix_size"), unused(df, "mix_rate")
+    sized = df.withColumn(size, words(text))
+    per = rates(sized.select(F.col(source).alias("source"), F.col(size).alias("size")), weights, share, most)
+    per = per.select(F.struct("source", "source_size", "target", "rate").alias(found))
+    joined = sized.join(per, F.col(source).eqNullSafe(F.col(f"{found}.source")), "left")
+    rate = F.col(f"{found}.rate")
     copies = F.floor(rate) + F.when(draw(seed, doc_id) < rate - F.floor(rate), 1).otherwise(0)
     mixed = F.struct(
-        F.col("_mix_size").alias("size"),
-        F.col("_mix_rate.source_size").alias("source_size"),
-        F.col("_mix_rate.target").alias("target"),
+        F.col(size).alias("size"),
+        F.col(f"{found}.source_size").alias("source_size"),
+        F.col(f"{found}.target").alias("target"),
         copies.cast("int").alias("copies"),
-        (F.col("_mix_size") * copies).cast("long").alias("taken"),
+        (F.col(size) * copies).cast("long").alias("taken"),
     )
-    return joined.select(*df.columns, mixed.alias("mixed"))
+    return joined.select(*[c for c in df.columns if c.lower() != out], mixed.alias(out))
 
 
 def emit(df: DataFrame, weights: list[int], **options) -> DataFrame:
     """The rows of df, each as often as the mix takes it, with df's own columns."""
-    mixed = mix(df, weights, **options)
-    taken = mixed.where(F.col("mixed.copies") > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("mixed.copies"))))
-    return taken.select(*df.columns)
+    out = unused(df, "mixed")
+    taken = mix(df, weights, out=out, **options).where(F.col(f"{out}.copies") > 0)
+    return taken.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col(f"{out}.copies"))).alias(unused(df, "copy"))).select(*df.columns)
 
 
 def sql(weights: list[int], share: float = 1.5, most: float = 2.0, seed: str = "mix") -> str:

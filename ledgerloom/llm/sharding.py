@@ -24,6 +24,8 @@ from .shared import settle
 #: Rows in a bucket, and beyond MOST_BUCKETS times these rows a larger share, so that bucket counts stay few.
 BUCKET_ROWS = 1_000
 MOST_BUCKETS = 10_000
+#: Places where the rows of one source meet its totals.
+SALTS = 64
 
 
 def _ranked(df: DataFrame, group: list[str], bucket: str, order: list, out: str, base_over: Window) -> DataFrame:
@@ -32,7 +34,8 @@ def _ranked(df: DataFrame, group: list[str], bucket: str, order: list, out: str,
     before = base_over.rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*group, bucket, F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_base"))
     inside = F.row_number().over(Window.partitionBy(*group, bucket).orderBy(*order)) - 1
-    placed = df.withColumn("_inside", inside)
+    # dealt by all keys of the window: a partitioning by the group alone would put a hot group into one task
+    placed = df.repartition(*group, bucket).withColumn("_inside", inside)
     return placed.join(bases, [*group, bucket]).withColumn(out, F.col("_base") + F.col("_inside")).drop("_base", "_inside")
 
 
@@ -54,7 +57,10 @@ def interleave(df: DataFrame, shards: int = 8, seed: str = "shard", doc_id: str
     bucket_rows = F.greatest(F.lit(BUCKET_ROWS), F.ceil(F.col("total") / MOST_BUCKETS))
     held = F.ceil(F.col("n") / bucket_rows)
     uniform = F.conv(F.substring("key", 1, 13), 16, 10).cast("double") / float(16**13)
-    rows = rows.join(per, "stratum").withColumn("bucket", F.floor(uniform * held))
+    # a hot source meets its totals in SALTS places
+    salted = per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["stratum", "salt"]).drop("salt")
+    rows = rows.withColumn("bucket", F.floor(uniform * held))
     ranked = _ranked(rows, ["stratum"], "bucket", [F.col("key")], "rank", Window.partitionBy("stratum").orderBy("bucket"))
     # (2 rank + 1) / (2 n) as a double; equal fractions fall into the key's order
     placed = ranked.withColumn("fraction", (2 * F.col("rank") + 1) / (2 * F.col("n")))

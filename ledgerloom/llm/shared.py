@@ -1,41 +1,15 @@
-"""What several operators of this subpackage use: the shared folder, checkpoints and batch sizes."""
+"""What several operators of this subpackage use: settled tables, batch sizes and names that are free."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in one Arrow batch. Texts can be long, so a batch must stay small in bytes too.
-BATCH_ROWS = 256
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
-
-    Only where that is unset (tests on one machine) a local temporary folder takes its place.
-    """
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not place:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        place = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="ledgerloom-")
-        if not current.isDefined():
-            spark.sparkContext.setCheckpointDir(place)
-    return place.rstrip("/")
+from ..storage import new_folder, settle
 
+__all__ = ["BATCH_ROWS", "new_folder", "settle", "small_batches", "unused"]
 
-def new_folder(spark: SparkSession, what: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it from there, which cuts its lineage."""
-    spark = df.sparkSession
-    path = new_folder(spark, "settled")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows in one Arrow batch. Texts can be long, so a batch must stay small in bytes too.
+BATCH_ROWS = 256
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -44,3 +18,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, unused
 
 #: Examples of each label, neighbours, examples in a block of postings.
 SAMPLE, K, BLOCK = 2_000, 15, 64
@@ -349,7 +349,7 @@ def _document_frequencies(docs: DataFrame, chosen: list[str]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     """Train on docs (doc_id, text) and the rows of labels (doc_id, toxic) that `learn` chooses."""
     small_batches(docs.sparkSession)
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     marked = labels.where(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
     # the first of each label by hash: every task keeps its own first ones, no label is sorted as a whole
@@ -414,4 +414,5 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity"
 
 def keep_clean(df: DataFrame, model: Model) -> DataFrame:
     """The rows of df that aren't predicted toxic, with df's own columns."""
-    return score(df, model, out="_toxicity").where("_toxicity.predicted = 0").select(*df.columns)
+    out = unused(df, "toxicity")
+    return score(df, model, out=out).where(F.col(f"{out}.predicted") == 0).select(*df.columns)

@@ -39,7 +39,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Of equal payloads shorter than this none is a revisit.
 LEAST_REPEAT = 100
-DICTIONARY_RECORDS, DICTIONARY_BYTES = 512, 32 * 1024
+DICTIONARY_RECORDS, DICTIONARY_BYTES = 256, 32 * 1024
 #: An equal date for all records makes archives of equal rows equal.
 DATE = "2024-01-01T00:00:00Z"
 
