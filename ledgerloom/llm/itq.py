@@ -1,18 +1,20 @@
 """Embedding near-duplicates: balanced binary codes by iterative quantisation, multi-index Hamming tables, reranking.
 
 1. A rotation is learnt on at most SAMPLE vectors (those of least hash): principal axes, then rotations in turn with
-   the nearest corner of the cube, so that the signs make balanced codes of BITS bits.
-2. The code of every vector is cut into TABLES substrings. A vector goes to the buckets of its substring and of all
-   that differ in one bit, so two vectors meet if any substring differs in two bits or fewer. Those within RADIUS bits
-   in all are kept.
+   the nearest corner of the cube, so that the signs make balanced codes.
+2. The code of every vector is cut into substrings, one per table. A vector goes to the buckets of its substring and of
+   all that differ in one bit, so two vectors meet if any substring differs in two bits or fewer. Those within a radius
+   in the whole code are kept.
 3. What is kept in a bucket is compared by the cosine of the original vectors in double precision; that gives groups.
 4. Within a group every two vectors are compared once more by cosine, for the exact number of links.
 
 Equal vectors are one vertex. Large buckets and groups are cut into cells (see cells.py), so no group is ever in one
 task and no list of pairs is made.
 
-At a cosine of 0.95 a bit differs with a probability of about 0.1, and a pair is found by a bucket with 0.998; at 0.98
-with 0.99996. A pair that step 2 misses is found in step 4 all the same if other links join it.
+At a cosine of 0.95 a bit differs with a probability of about 0.1. Substrings have as many bits as the number of vectors
+(16 at least, 32 at most), so buckets don't grow with the table, and there are as many tables as find a pair at the
+threshold with a probability of RECALL (see design): 4 tables of 16 bits up to 65,536 vectors, 6 of 20 bits for a
+million, 12 of 30 bits for 10^9. A pair that step 2 misses is found in step 4 all the same if other links join it.
 
 Defined cases. Vectors that are null, zero or hold null or non-finite components, and those whose length isn't the most
 frequent one of the sample, link with nothing and are kept. Rows of one vec_id are one thing: they share a component.
@@ -22,6 +24,7 @@ A null vec_id has no component. An empty table gives no rows. Other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, ceil, comb, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,9 @@ from .components import classes, components
 from .shared import settle
 
 COSINE = 0.95
-BITS, TABLES, RADIUS = 64, 4, 14
+#: Probability that a pair at the threshold shares a bucket. Bits of a substring at least and at most.
+RECALL, WIDTHS = 0.997, (16, 32)
+BITS = 64
 SAMPLE, TURNS, SEED = 10_000, 40, 11
 BUCKET_BLOCK, GROUP_BLOCK = 1024, 1024
 
@@ -51,6 +56,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def design(n: int, cosine: float = COSINE) -> tuple[int, int, int, int]:
+    """(bits, tables, width of a substring, radius) of the codes of n vectors."""
+    differs = acos(cosine) / pi  # probability that a bit differs at the threshold
+    width = min(WIDTHS[1], max(WIDTHS[0], (max(2, n) - 1).bit_length()))
+    meets = sum(comb(width, k) * differs**k * (1 - differs) ** (width - k) for k in range(3))
+    tables = max(4, ceil(log(1 - RECALL) / log(1 - meets)))
+    bits = -(-tables * width // 64) * 64
+    return bits, tables, width, int(bits * differs + 3.2 * sqrt(bits * differs * (1 - differs)))
+
+
 def learn(sample: np.ndarray, bits: int = BITS, turns: int = TURNS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection): the signs of (unit vector - mean) @ projection are the code."""
     x = _unit(sample)
@@ -71,17 +86,23 @@ def learn(sample: np.ndarray, bits: int = BITS, turns: int = TURNS, seed: int =
 
 
 def encode(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """Codes of vectors, 64 bits each."""
+    """Codes of vectors, as rows of numbers of 64 bits."""
     signs = ((_unit(x) - mean) @ projection) >= 0
-    return np.packbits(signs, axis=1, bitorder="little").view("<u8").ravel().view("<i8")
+    return np.packbits(signs, axis=1, bitorder="little").view("<u8")
+
+
+def substrings(codes: np.ndarray, tables: int, width: int) -> np.ndarray:
+    """The substrings of codes, a column for each table."""
+    bits = np.unpackbits(np.ascontiguousarray(codes).view(np.uint8), axis=1, bitorder="little")[:, : tables * width]
+    return bits.reshape(len(codes), tables, width).astype(np.int64) @ (np.int64(1) << np.arange(width, dtype=np.int64))
 
 
 def _matrix(column) -> np.ndarray:
     return cells.binary_matrix(column, "<f4").astype(np.float64)
 
 
-def _prints(df: DataFrame, size: int, mean: np.ndarray, projection: np.ndarray) -> DataFrame:
-    """vec_id, vertex, code and the bytes of each usable vector."""
+def _prints(df: DataFrame, size: int, mean: np.ndarray, projection: np.ndarray, tables: int, width: int) -> DataFrame:
+    """vec_id, vertex, code, its substrings and the bytes of each usable vector."""
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -91,27 +112,30 @@ def _prints(df: DataFrame, size: int, mean: np.ndarray, projection: np.ndarray)
             raw = [r.tobytes() for r in x]
             names = [xxhash.xxh64_intdigest(r) - (1 << 63) for r in raw]
             codes = encode(x, mean, projection)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.int64()), pa.array(codes, pa.int64()), pa.array(raw, pa.binary())], names=["vec_id", "vertex", "code", "raw"])
+            parts = pa.ListArray.from_arrays(np.arange(len(codes) + 1, dtype=np.int32) * tables, substrings(codes, tables, width).ravel())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(names, pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary()), parts, pa.array(raw, pa.binary())],
+                names=["vec_id", "vertex", "code", "parts", "raw"],
+            )
 
-    return df.mapInArrow(make, "vec_id long, vertex long, code long, raw binary")
+    return df.mapInArrow(make, "vec_id long, vertex long, code binary, parts array<long>, raw binary")
 
 
-def _met(vertices: DataFrame) -> DataFrame:
-    """(bucket, vertex) of the vertices that have another one within RADIUS bits in that bucket."""
-    width = BITS // TABLES
-    part = [F.shiftrightunsigned("code", t * width).bitwiseAND(F.lit((1 << width) - 1)) for t in range(TABLES)]
-    masks = [0] + [1 << k for k in range(width)]
-    keys = F.array(*[p.bitwiseXOR(F.lit(m)).bitwiseOR(F.lit(t << width)) for t, p in enumerate(part) for m in masks])
-    keyed = vertices.select("vertex", "code", F.explode(keys).alias("bucket"))
+def _met(vertices: DataFrame, width: int, radius: int) -> DataFrame:
+    """(bucket, vertex) of the vertices that have another one within the radius in that bucket."""
+    masks = F.array(*[F.lit(m).cast("long") for m in (0, *(1 << k for k in range(width)))])
+    keys = F.transform("parts", lambda p, t: F.transform(masks, lambda m: p.bitwiseXOR(m).bitwiseOR(F.shiftleft(t.cast("long"), 40))))
+    keyed = vertices.select("vertex", "code", F.explode(F.flatten(keys)).alias("bucket"))
     held = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     dealt = cells.deal(keyed.join(held, "bucket"), "bucket", "vertex", F.ceil(F.col("members") / BUCKET_BLOCK))
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in cells.runs(parts, "bucket", 8192):
-            code, own, lo, hi = (table[c].to_numpy() for c in ("code", "own", "lo", "hi"))
+            own, lo, hi = (table[c].to_numpy() for c in ("own", "lo", "hi"))
+            code = cells.binary_matrix(table["code"], "<u8")
             near = np.zeros(len(table), dtype=bool)
             for a, b in cells.pairs(starts, own, lo, hi):
-                close = np.bitwise_count(code[a] ^ code[b]) <= RADIUS
+                close = np.bitwise_count(code[a] ^ code[b]).sum(axis=1) <= radius
                 near[a[close]] = near[b[close]] = True
             yield from table.select(["bucket", "vertex"]).filter(pa.array(near)).to_batches()
 
@@ -176,12 +200,14 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     lengths, counts = np.unique([len(v) for v in sample], return_counts=True)
     size = int(lengths[counts.argmax()])
-    mean, projection = learn(np.array([v for v in sample if len(v) == size], dtype=np.float32))
+    own = good.where((F.size("vector") == size) & F.col("vec_id").isNotNull())
+    bits, tables, width, radius = design(own.count(), cosine)
+    mean, projection = learn(np.array([v for v in sample if len(v) == size], dtype=np.float32), bits)
 
-    prints = settle(_prints(good.where((F.size("vector") == size) & F.col("vec_id").isNotNull()), size, mean, projection))
-    named = settle(prints.groupBy("vertex").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("code").alias("code")))
+    prints = settle(_prints(own, size, mean, projection, tables, width))
+    named = settle(prints.groupBy("vertex").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("code").alias("code"), F.min("parts").alias("parts")))
     raw = prints.join(named.select("vertex", F.col("rep").alias("vec_id")), ["vertex", "vec_id"]).select("vertex", "raw").dropDuplicates(["vertex"])
-    met = settle(_met(named))
+    met = settle(_met(named, width, radius))
     held = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     near = components(_edges(met.join(held, "bucket").join(raw, "vertex"), cosine))
 

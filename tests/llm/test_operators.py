@@ -467,3 +467,45 @@ def test_toxicity_against_brute_force(spark):
         vote = min(1 - 1e-4, (sum(s * examples[i] for s, i in zip(share, near, strict=True)) + prior) / (sum(share) + 1))
         want = 1 / (1 + np.exp(-(model.slope * np.log(vote / (1 - vote)) + model.offset))) if near else prior
         assert abs(r.t.score - want) < 1e-6 and r.t.predicted == int(r.t.score >= 0.7)
+
+
+@pytest.mark.parametrize("n", [1_000, 100_000, 2_000_000])
+def test_hamming_tables_meet_near_vectors_at_any_size(n):
+    """The codes that design chooses for n vectors bring 99 % of pairs at the threshold together."""
+    bits, tables, width, radius = itq.design(n)
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 64))
+    unit, away = x / np.linalg.norm(x, axis=1, keepdims=True), rng.standard_normal(x.shape)
+    away -= (away * unit).sum(axis=1, keepdims=True) * unit
+    near = 0.9501 * unit + np.sqrt(1 - 0.9501**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    mean, projection = itq.learn(x, bits)
+    a, b = itq.encode(x, mean, projection), itq.encode(near, mean, projection)
+    met = (np.bitwise_count(itq.substrings(a, tables, width) ^ itq.substrings(b, tables, width)) <= 2).any(axis=1)
+    assert (met & (np.bitwise_count(a ^ b).sum(axis=1) <= radius)).mean() > 0.99
+    assert a.shape[1] * 64 == bits >= tables * width and 2 ** (width + 1) > min(n, 2**32)
+
+
+def test_names_of_columns_never_clash(spark):
+    """Columns called like those that operators add for a while come back as they were."""
+    names = ["mix_size", "mix_rate", "copy", "mixed", "bpe", "language", "toxicity", "keep_n", "_mix_size", "_toxicity"]
+    docs = spark.createDataFrame([(i, f"some words of text {i} and a few more", "en", "s", *[-7] * len(names)) for i in range(8)], ["doc_id", "text", "lang", "source", *names])
+    model = language_id.fit(docs, F.lit(True))
+    marks = spark.createDataFrame([(i, int(i < 2)) for i in range(8)], "doc_id long, toxic int")
+    for got in (
+        mixing.emit(docs, [1]), bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")), language_id.keep_identified(docs, model),
+        toxicity.keep_clean(docs, toxicity.fit(docs, marks, F.lit(True))), jaccard_join.keep_one(docs),
+    ):
+        rows = got.select(*docs.columns).collect()
+        assert rows and all(r[n] == -7 for r in rows for n in names)
+    assert {r["mix_size"] for r in mixing.mix(docs, [1]).collect()} == {-7}
+
+
+def test_repeated_vectors_and_ids(spark):
+    x = np.random.default_rng(4).standard_normal((60, 8)).astype(np.float32)
+    rows = [(i % 50, v.tolist()) for i, v in enumerate(x)] + [(3, x[3].tolist())] * 2 + [(None, x[0].tolist()), (None, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = itq.near_duplicates(df).collect()
+    assert len(found) == len(rows) and {r.vec_id: r.component_id for r in found if r.vec_id == 3}[3] is not None
+    assert all(r.n_links >= 2 for r in found if r.vec_id == 3 and r.n_links) and [r.component_id for r in found if r.vec_id is None] == [None, None]
+    near = vptree.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()
+    assert all(r.vec_id != r.query_id and r.vec_id is not None for r in near) and {r.query_id for r in near} == {0, 20, 40}
