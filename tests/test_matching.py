@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import scalars as S
@@ -121,14 +122,18 @@ def test_empty_ledgers(spark):
     assert stats.total_rows == 0 and stats.exact_match_rate is None
 
 
-def test_name_pairs_are_lossless(spark):
+@pytest.mark.parametrize("threshold", [95, 80])
+def test_name_pairs_are_lossless(spark, threshold):
+    """Changed, cut, longer and tiny names: every pair that the scorer rates high enough is found."""
     rng = random.Random(7)
     words = ["ALPHA", "BETA", "GAMMA", "DELTA", "OMEGA", "LTD", "AND", "SONS", "INTERNATIONAL", "TRADING"]
-    a = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(40)} | {"AB", "X"})
-    b = sorted({n[:k] + rng.choice("QZ") + n[k + 1 :] for n in a for k in [rng.randrange(len(n))]} | {"M/S " + n + " LTD" for n in a[:15]} | {"CABLE", "X"})
-    got = {(r.l_name, r.r_name) for r in names.alike(left(spark, *[(i, None, [], n, "1") for i, n in enumerate(a)]), right(spark, *[(i, None, None, None, n, "1") for i, n in enumerate(b)])).collect()}
-    want = {(x, y) for x in a for y in b if S._partial_ratio(x, y) >= 95 and (x in y or y in x or min(len(x), len(y)) > 18)}
-    assert got == want
+    a = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(40)} | {"AB", "X", "JOHN SMITHS", "JOHNX SMITH", "MAURITIUS TELECOMX", "ABCDEFGHIJ"})
+    changed = {n[:k] + rng.choice("QZ") + n[k + 1 :] for n in a for k in [rng.randrange(len(n))]}
+    cut = {"MR " + n[:-1] for n in a} | {n[1:] for n in a if len(n) > 1} | {"THE " + n[:k] + n[k + 1 :] for n in a for k in [rng.randrange(len(n))]}
+    b = sorted(changed | cut | {"M/S " + n + " LTD" for n in a[:15]} | {"CABLE", "X", "MR JOHN SMITH", "ABC MAURITIUS TELECOM", "XABCDEFGHI"})
+    got = {(r.l_name, r.r_name) for r in names.alike(left(spark, *[(i, None, [], n, "1") for i, n in enumerate(a)]), right(spark, *[(i, None, None, None, n, "1") for i, n in enumerate(b)]), threshold).collect()}
+    want = {(x, y) for x in a for y in b if S._partial_ratio(x, y) >= threshold}
+    assert got == want and {("JOHN SMITHS", "MR JOHN SMITH"), ("MAURITIUS TELECOMX", "ABC MAURITIUS TELECOM")} <= got
 
 
 def test_groups_pair_rows_in_order_and_skip_larger_left_groups(spark):
