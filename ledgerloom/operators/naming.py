@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,35 +52,65 @@ def distributed(applied: DataFrame, left: DataFrame, right: DataFrame) -> DataFr
 
 
 def met(left: DataFrame, right: DataFrame, pairs: DataFrame, tolerance: float = 100) -> DataFrame:
-    """(l_id, r_id, l_amount, r_amount, score, diff, tier): every right row whose name is alike."""
-    a = left.where("name is not null").select("l_id", F.col("name").alias("l_name"), F.col("amount").alias("l_amount"))
-    b = right.where("name is not null").select("r_id", F.col("name").alias("r_name"), F.col("amount").alias("r_amount"))
-    rows = a.join(pairs, "l_name").join(b, "r_name")
+    """(l_id, r_id, l_amount, r_amount, score, diff, tier): every right row whose name is alike.
+
+    As many rows as left and right rows of alike names multiplied: for left rows all of whose right rows are wanted.
+    """
+    return _rated(_asks(left).join(pairs, "l_name").join(_has(right), "r_name"), tolerance)
+
+
+def _asks(left: DataFrame) -> DataFrame:
+    return left.where("name is not null").select("l_id", F.col("name").alias("l_name"), F.col("amount").alias("l_amount"))
+
+
+def _has(right: DataFrame) -> DataFrame:
+    return right.where("name is not null").select("r_id", F.col("name").alias("r_name"), F.col("amount").alias("r_amount"))
+
+
+def _rated(rows: DataFrame, tolerance: float) -> DataFrame:
     diff = S.difference(F.col("l_amount"), F.col("r_amount"))
     return rows.select("l_id", "r_id", "l_amount", "r_amount", "score", diff.alias("diff")).withColumn("tier", S.amount_tier(F.col("diff"), tolerance))
 
 
-def singles(rows: DataFrame, first_only: bool = False) -> DataFrame:
-    """(l_id, r_id, diff) of every right row within tolerance, or of the first by id."""
-    hit = rows.where(F.col("tier").isin(S.EXACT))
+def near(left: DataFrame, right: DataFrame, pairs: DataFrame, tolerance: float = 100) -> DataFrame:
+    """The rows of met() that are within tolerance or in the close tier, without the others.
+
+    Amounts are cut into stretches of twice the tolerance, so a row meets only those of its own stretch and the next
+    ones, and the rows of one name are dealt by amount.
+    """
+    width = F.lit(max(Decimal("0.01"), 2 * Decimal(str(tolerance)))).cast("decimal(18,2)")
+    stretch = lambda amount: F.floor(amount / width)
+    asks = _asks(left).where("l_amount is not null").join(pairs, "l_name")
+    asks = asks.withColumn("stretch", F.explode(F.array(*[stretch(-F.col("l_amount")) + k for k in (-1, 0, 1)])))
+    has = _has(right).where("r_amount is not null").withColumn("stretch", stretch(F.col("r_amount")))
+    return _rated(asks.join(has, ["r_name", "stretch"]), tolerance).where(F.col("tier").isin(*S.EXACT, "CLOSE_MATCH"))
+
+
+def singles(found: DataFrame, first_only: bool = False) -> DataFrame:
+    """(l_id, r_id, diff) of every right row of near() within tolerance, or of the first by id."""
+    hit = found.where(F.col("tier").isin(S.EXACT))
     if first_only:
         hit = hit.groupBy("l_id").agg(F.min(F.struct("r_id", "diff")).alias("m")).select("l_id", "m.*")
     return hit.select("l_id", "r_id", "diff")
 
 
-def sums(rows: DataFrame, tolerance: float = 100) -> DataFrame:
+def sums(left: DataFrame, right: DataFrame, pairs: DataFrame, found: DataFrame, tolerance: float = 100) -> DataFrame:
     """Per left row: n_single, rest (rows not within tolerance alone), rest_total, rest_diff, rest_tier, close.
 
-    close is the first row of the close tier. The rest's total leaves rows without an amount out.
+    found is near(). close is the first row of the close tier. The rest's total leaves rows without an amount out; it is
+    the total of all names alike, summed once per name, less that of the single rows.
     """
     hit = F.col("tier").isin(S.EXACT)
-    per = rows.groupBy("l_id").agg(
-        F.first("l_amount").alias("l_amount"),
+    mine = found.groupBy("l_id").agg(
         F.count_if(hit).alias("n_single"),
-        F.count_if(~hit).alias("rest"),
-        F.sum(F.when(~hit, F.col("r_amount"))).alias("rest_total"),
+        F.sum(F.when(hit, F.col("r_amount"))).alias("single_total"),
         F.min(F.when(F.col("tier") == "CLOSE_MATCH", F.struct("r_id", "diff"))).alias("close"),
     )
+    of_name = _has(right).groupBy("r_name").agg(F.count(F.lit(1)).alias("n"), F.count("r_amount").alias("known"), F.sum("r_amount").alias("total"))
+    alike = pairs.join(of_name, "r_name").groupBy("l_name").agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("total").alias("total"))
+    per = _asks(left).join(alike, "l_name").join(mine, "l_id", "left").withColumn("n_single", F.coalesce("n_single", F.lit(0)))
+    rest_total = F.when(F.col("known") > F.col("n_single"), F.col("total") - F.coalesce("single_total", F.lit(0))).cast("decimal(28,2)")
+    per = per.select("l_id", "l_amount", "n_single", (F.col("n") - F.col("n_single")).alias("rest"), rest_total.alias("rest_total"), "close")
     per = per.withColumn("rest_diff", S.difference(F.col("l_amount"), F.col("rest_total")))
     return per.withColumn("rest_tier", S.amount_tier(F.col("rest_diff"), tolerance))
 
@@ -96,20 +128,22 @@ def choices(per: DataFrame) -> DataFrame:
     return per.withColumn("take", take)
 
 
-def partials(rows: DataFrame, chosen: DataFrame, busy: DataFrame) -> DataFrame:
-    """(l_id, r_id, score, diff, tier) of left rows without an exact offer: hits in no earlier partial match."""
-    open_ = rows.join(chosen.where("take is not null").select("l_id"), "l_id", "left_anti")
-    return open_.join(busy.select("r_id").distinct(), "r_id", "left_anti")
+def partials(left: DataFrame, right: DataFrame, pairs: DataFrame, chosen: DataFrame, busy: DataFrame, tolerance: float = 100) -> DataFrame:
+    """(l_id, r_id, ..., tier) of left rows without an exact offer: right rows alike that are in no earlier partial match."""
+    open_ = left.join(chosen.where("take is not null").select("l_id"), "l_id", "left_anti")
+    return met(open_, right.join(busy.select("r_id").distinct(), "r_id", "left_anti"), pairs, tolerance)
 
 
-def offers(rows: DataFrame, busy: DataFrame, tolerance: float = 100) -> tuple[DataFrame, DataFrame]:
-    """(offers, links) of single left rows, as in the other passes."""
-    chosen = choices(sums(rows, tolerance))
+def offers(left: DataFrame, right: DataFrame, pairs: DataFrame, busy: DataFrame, tolerance: float = 100) -> tuple[DataFrame, DataFrame]:
+    """(offers, links) of single left rows, as in the other passes. Only links that are offered are made."""
+    found = settle(near(left, right, pairs, tolerance))
+    chosen = settle(choices(sums(left, right, pairs, found, tolerance)))
     hit = F.col("tier").isin(S.EXACT)
-    wanted = (
-        (F.col("take") == "all") | ((F.col("take") == "single") & hit) | ((F.col("take") == "one") & (F.col("r_id") == F.col("close.r_id"))) | ((F.col("take") == "rest") & ~hit)
-    )
-    sure = rows.join(chosen.where("take is not null").select("l_id", "take", "close"), "l_id").where(wanted)
+    few = found.join(chosen.where(F.col("take").isin("single", "one")).select("l_id", "take", "close"), "l_id")
+    few = few.where(((F.col("take") == "single") & hit) | (F.col("r_id") == F.col("close.r_id"))).drop("close")
+    many = chosen.where(F.col("take").isin("all", "rest")).select("l_id", "take")
+    many = met(left.join(many, "l_id", "left_semi"), right, pairs, tolerance).join(many, "l_id").where((F.col("take") == "all") | ~hit)
+    sure = settle(few.unionByName(many))
     per = sure.groupBy("l_id").agg(
         F.count(F.lit(1)).alias("size"), F.max("score").alias("score"), F.first("take").alias("take"),
         F.when(F.count(F.lit(1)) == F.count("r_amount"), S.difference(F.first("l_amount"), F.sum("r_amount"))).alias("diff"),
@@ -121,7 +155,7 @@ def offers(rows: DataFrame, busy: DataFrame, tolerance: float = 100) -> tuple[Da
     text = F.coalesce(S.money(F.col("diff")), F.lit("Diff: $nan"))
     exact = per.select("l_id", F.lit(0).alias("kind"), "size", sure_of.alias("confidence"), "diff", F.concat(score, F.lit(" + "), close, amount, F.lit(" ("), sure_of, F.lit(" Confidence, "), text, F.lit(")")).alias("reason"))
 
-    loose = partials(rows, chosen, busy)
+    loose = settle(partials(left, right, pairs, chosen, busy, tolerance))
     in_tier = F.col("tier").isin(S.LOOSE)
     best = loose.groupBy("l_id").agg(F.count(F.lit(1)).alias("size"), F.max("score").alias("score"), F.min(F.when(in_tier, F.col("diff"))).alias("near"), F.min(F.struct("r_id", "diff"))["diff"].alias("first"))
     known = F.col("near").isNotNull()

@@ -23,9 +23,11 @@ def hits(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:
     asks = left.select("l_id", F.col("name").alias("l_name"), F.col("amount").alias("l_amount"), F.explode(F.array_distinct("tokens")).alias("token")).where("token <> ''")
     numbers = F.array_distinct(F.filter(F.array("policy_1", "policy_2"), lambda p: p.isNotNull() & (p != "")))
     has = right.select("r_id", F.col("name").alias("r_name"), F.col("amount").alias("r_amount"), F.explode(numbers).alias("token"))
-    met = asks.join(has, "token").dropDuplicates(["l_id", "r_id"])
-    pairs = met.select("l_name", "r_name").distinct().withColumn("score", S.name_score(F.col("l_name"), F.col("r_name"))).where(F.col("score") >= threshold)
-    return met.join(pairs, ["l_name", "r_name"]).select("l_id", "r_id", "l_amount", "r_amount", "score")
+    # names meet by number before rows do, so rows of names that aren't alike are never joined
+    names = asks.select("token", "l_name").distinct().join(has.select("token", "r_name").distinct(), "token").select("l_name", "r_name").distinct()
+    pairs = names.withColumn("score", S.name_score(F.col("l_name"), F.col("r_name"))).where(F.col("score") >= threshold)
+    met = asks.join(pairs, "l_name").join(has, ["token", "r_name"]).dropDuplicates(["l_id", "r_id"])
+    return met.select("l_id", "r_id", "l_amount", "r_amount", "score")
 
 
 def offers(found: DataFrame, tolerance: float = 100) -> DataFrame:

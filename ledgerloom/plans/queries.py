@@ -350,22 +350,23 @@ def p3_groups(spark, sf_dir):
 @query(f"{MET} select l_id, r_id, diff from met where tier in ('PERFECT_MATCH', 'EXACT_MATCH')", amounts="diff")
 def p3_single(spark, sf_dir):
     """Right rows within tolerance whose name is alike."""
-    return naming.singles(naming.met(*_pairs(spark, sf_dir)))
+    return naming.singles(naming.near(*_pairs(spark, sf_dir)))
 
 
 @query(f"{MET} select l_id, n_single, rest, rest_total, rest_diff, rest_tier, take from choice", amounts="rest_total rest_diff")
 def p3_cumulative(spark, sf_dir):
     """Per left row what single rows leave over, its sum, and what is taken."""
-    per = naming.choices(naming.sums(naming.met(*_pairs(spark, sf_dir))))
+    rows = _pairs(spark, sf_dir)
+    per = naming.choices(naming.sums(*rows, naming.near(*rows)))
     return per.select("l_id", "n_single", "rest", F.col("rest_total").cast("decimal(28,2)").alias("rest_total"), "rest_diff", "rest_tier", "take")
 
 
 @query(f"{MET} select l_id, r_id, diff, tier from met where l_id not in (select l_id from choice where take is not null)", amounts="diff")
 def p3_partial(spark, sf_dir):
     """Name hits of left rows without an exact offer."""
-    rows = naming.met(*_pairs(spark, sf_dir))
-    none = rows.select("r_id").where("false")
-    return naming.partials(rows, naming.choices(naming.sums(rows)), none).select("l_id", "r_id", "diff", "tier")
+    rows = _pairs(spark, sf_dir)
+    none = rows[1].select("r_id").where("false")
+    return naming.partials(*rows, settle(naming.choices(naming.sums(*rows, naming.near(*rows)))), none).select("l_id", "r_id", "diff", "tier")
 
 
 @query()

@@ -85,7 +85,7 @@ def reconcile(left: DataFrame, right: DataFrame, profile: Profile = MODULAR, rul
         # rows that a group resolved skip their single candidates
         rest = unresolved(open_, state)
         free = free.join(given.select("r_id"), "r_id", "left_anti")
-        rows = settle(naming.met(rest, free, pairs, tol))
-        offers, links = naming.offers(rows, busy, tol)
+        rest, free = settle(rest), settle(free)
+        offers, links = naming.offers(rest, free, pairs, busy, tol)
         state = claims.apply(state, settle(offers), settle(links), right, rest, "3")
     return state
