@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..storage import settle
 
 
 def exploded(rules: DataFrame) -> DataFrame:
@@ -24,16 +25,22 @@ def keyed(df: DataFrame, row: str, columns: list[str]) -> DataFrame:
 def matches(rules: DataFrame, left_keys: DataFrame, right_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(l_id per rule, r_id per rule) of rules all of whose keys are there; of rules that share a row the first wins.
 
-    A rule is one claim of a group: its left rows share its right rows.
+    A rule is one claim of a group: its left rows share its right rows. A rule that loses stands in nobody's way: rules
+    that are first on all their rows win, those that share a row with a winner go, and so on until none is left.
     """
-    keys = exploded(rules)
+    keys = settle(exploded(rules))
     found = keys.where("side = 'lhs'").join(left_keys, "key").select("rule_id", "side", F.col("l_id").alias("row"), "key").unionByName(
         keys.where("side = 'rhs'").join(right_keys, "key").select("rule_id", "side", F.col("r_id").alias("row"), "key")
     )
     wanted = keys.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n"))
     whole = found.groupBy("rule_id").agg(F.count(F.lit(1)).alias("got")).join(wanted, "rule_id").where("n = got").select("rule_id")
-    rows = found.join(whole, "rule_id")
-    first = rows.groupBy("side", "row").agg(F.min("rule_id").alias("first"))
-    beaten = rows.join(first, ["side", "row"]).where("rule_id <> first").select("rule_id").distinct()
-    won = rows.join(beaten, "rule_id", "left_anti")
+    rest = settle(found.join(whole, "rule_id").select("rule_id", "side", "row"))
+    won = rest.limit(0)
+    while not rest.isEmpty():
+        first = rest.groupBy("side", "row").agg(F.min("rule_id").alias("first"))
+        beaten = rest.join(first, ["side", "row"]).where("rule_id <> first").select("rule_id").distinct()
+        sure = settle(rest.join(beaten, "rule_id", "left_anti"))
+        won = won.unionByName(sure)
+        gone = rest.join(sure.select("side", "row"), ["side", "row"], "left_semi").select("rule_id").distinct()
+        rest = settle(rest.join(gone, "rule_id", "left_anti"))
     return won.where("side = 'lhs'").select("rule_id", F.col("row").alias("l_id")), won.where("side = 'rhs'").select("rule_id", F.col("row").alias("r_id"))

@@ -377,21 +377,28 @@ def p3_distribution(spark, sf_dir):
     return naming.distributed(applied, left, right)
 
 
-# Matrix rules: every left row that is divisible by 40 names its own right row (a rule of a pair per 80)
+# Matrix rules: every left row's rule names all right rows made of it; each rule comes twice, so that the second loses
 
 
 @query(
-    f""", rules as (
-  select l_id as rule_id, {_key_sql(KEYS)} as lk from left_ledger where l_id % 40 = 0
-), lk as (select l_id, {_key_sql(KEYS)} as k from left_ledger), rk as (select r_id, {_key_sql(R_KEYS)} as k from right_ledger)
-select rule_id, lk.l_id, rk.r_id from rules join lk on rules.rule_id = lk.l_id join rk on rk.r_id = rules.rule_id * 10"""
+    f""", lk as (
+  select l_id, k from (select l_id, {_key_sql(KEYS)} as k from left_ledger) qualify count(*) over (partition by k) = 1
+), rk as (
+  select r_id, k, count(*) over (partition by k) as n from (select r_id, {_key_sql(R_KEYS)} as k from right_ledger)
+), made as (
+  select r_id // 10 as l_id, max(n) as n from rk group by 1
+)
+select lk.l_id as rule_id, lk.l_id, rk.r_id from lk join made on made.l_id = lk.l_id and made.n = 1 join rk on rk.r_id // 10 = lk.l_id"""
 )
 def matrix_match(spark, sf_dir):
-    """Rules between left rows and the right rows made of them."""
+    """Rules between every left row and the right rows made of it: one, three, or none (a key that is missing)."""
     left, right = L.raw_ledgers(spark, sf_dir)
     l_keys, r_keys = settle(matrix.keyed(left, "l_id", KEYS)), settle(matrix.keyed(right, "r_id", R_KEYS))
-    own = l_keys.where("l_id % 40 = 0").withColumn("r_id", F.col("l_id") * 10).join(r_keys.withColumnRenamed("key", "r_key"), "r_id")
-    rules = own.select(F.col("l_id").alias("rule_id"), F.concat("key", F.lit("|"), "r_key").alias("rule"))
+    named = right.select(F.floor(F.col("r_id") / 10).alias("l_id"), S.normalize_key(S.build_key(*[F.col(c) for c in R_KEYS])).alias("key"))
+    rhs = named.groupBy("l_id").agg(F.array_join(F.collect_list("key"), ",").alias("rhs"))
+    own = left.select("l_id", S.normalize_key(S.build_key(*[F.col(c) for c in KEYS])).alias("lhs")).join(rhs, "l_id", "left")
+    rule = F.concat("lhs", F.lit("|"), F.coalesce("rhs", F.lit("missing")))
+    rules = own.select(F.explode(F.array(F.col("l_id"), F.col("l_id") + 10**12)).alias("rule_id"), rule.alias("rule"))
     l_rows, r_rows = matrix.matches(settle(rules), l_keys, r_keys)
     return l_rows.join(r_rows, "rule_id")
 

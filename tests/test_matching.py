@@ -159,6 +159,10 @@ def test_matrix_rules(spark):
     l_rows, r_rows = matrix.matches(rules, lk, rk)
     assert {tuple(r) for r in l_rows.collect()} == {(1, 1), (1, 2), (2, 3)}
     assert {tuple(r) for r in r_rows.collect()} == {(1, 10), (2, 20)}
+    # 1 beats 2, so 2 is not in the way of 3
+    chain = spark.createDataFrame([(1, "a|x"), (2, "b|x,y"), (3, "c|y,z"), (4, "d|z")], "rule_id long, rule string")
+    l_rows, r_rows = matrix.matches(chain, lk, rk)
+    assert {tuple(r) for r in l_rows.collect()} == {(1, 1), (3, 3)} and {tuple(r) for r in r_rows.collect()} == {(1, 10), (3, 20), (3, 30)}
     df = spark.createDataFrame([(1, " a ", 1.0), (2, "a", 1.0), (3, "b", 2.0)], "l_id long, p string, q double")
     assert [tuple(r) for r in matrix.keyed(df, "l_id", ["p", "q"]).collect()] == [(3, "b#2")]
     state = R.reconcile(left(spark, (1, None, [], "N", "-5"), (2, None, [], "O", "-5")), right(spark, (10, None, None, None, "N", "10")), R.Profile(passes=()), rules, lk, rk)
