@@ -140,7 +140,7 @@ def offers(left: DataFrame, right: DataFrame, pairs: DataFrame, busy: DataFrame,
     chosen = settle(choices(sums(left, right, pairs, found, tolerance)))
     hit = F.col("tier").isin(S.EXACT)
     few = found.join(chosen.where(F.col("take").isin("single", "one")).select("l_id", "take", "close"), "l_id")
-    few = few.where(((F.col("take") == "single") & hit) | (F.col("r_id") == F.col("close.r_id"))).drop("close")
+    few = few.where(((F.col("take") == "single") & hit) | ((F.col("take") == "one") & (F.col("r_id") == F.col("close.r_id")))).drop("close")
     many = chosen.where(F.col("take").isin("all", "rest")).select("l_id", "take")
     many = met(left.join(many, "l_id", "left_semi"), right, pairs, tolerance).join(many, "l_id").where((F.col("take") == "all") | ~hit)
     sure = settle(few.unionByName(many))

@@ -32,10 +32,30 @@ select l_id*10+piece, PlacingNo, cast(10000+cast(substr(PlacingNo,4,6) as int) a
   ClientName, cast(round(P*w,2) as decimal(18,2))
 from b, p where k=4
 """
-#: The same cleaning as clean_left and clean_right, as SQL for DuckDB.
-CLEAN_SQL = f"""
-left_ledger as ({LEFT.replace("{S}", "varchar")}),
-right_ledger as ({RIGHT.replace("{S}", "varchar")}),
+# Ledgers whose rows contend: a nation's customers share one placing number, some amounts are split, missing or apart.
+CONTESTED_LEFT = """
+select c_custkey as l_id, concat('NATION', lpad(cast(c_nationkey as {S}),6,'0')) as PlacingNo,
+  concat('POL ', cast(20000 + c_custkey % 50 as {S}), ' X') as PolicyNo, c_name as ClientName,
+  case when c_custkey % 11 <> 0 then -cast(c_acctbal as decimal(18,2)) end as Amount
+from customer
+"""
+CONTESTED_RIGHT = """
+with b as (select c_custkey as id, concat('NATION', lpad(cast(c_nationkey as {S}),6,'0')) as PlacingNo, cast(20000 + c_custkey % 50 as {S}) as policy,
+  c_name as ClientName, cast(c_acctbal as decimal(18,2)) as P, c_custkey % 6 as k from customer)
+select id*10 as r_id, PlacingNo, case when k<>3 then policy end as PolicyNo_1, case when k=3 then policy end as PolicyNo_2, ClientName,
+  cast(case k when 0 then P when 3 then P + 350 when 4 then P + 10000 end as decimal(18,2)) as Amount
+from b where k not in (1,5)
+union all
+select id*10+piece, PlacingNo, policy, cast(null as {S}), case when piece = 1 then ClientName end, cast(round(P*w,2) as decimal(18,2))
+from b, (select * from (values (1,0.60),(2,0.40)) v(piece,w)) q where k=1
+"""
+
+
+def clean_sql(left: str, right: str) -> str:
+    """The same cleaning as clean_left and clean_right, as SQL for DuckDB."""
+    return f"""
+left_ledger as ({left.replace("{S}", "varchar")}),
+right_ledger as ({right.replace("{S}", "varchar")}),
 l as (
   select l_id, regexp_replace(upper(PlacingNo), '[^A-Z0-9]', '', 'g') as placing_no,
     case when PolicyNo is null then [] when len(PolicyNo) - len(replace(PolicyNo, '/', '')) > 1
@@ -51,6 +71,10 @@ l as (
 )"""
 
 
+CLEAN_SQL = clean_sql(LEFT, RIGHT)
+CONTESTED_SQL = clean_sql(CONTESTED_LEFT, CONTESTED_RIGHT)
+
+
 def raw_ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two test ledgers as they would come from files."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -77,3 +101,10 @@ def ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two test ledgers, cleaned."""
     left, right = raw_ledgers(spark, sf_dir)
     return clean_left(left), clean_right(right)
+
+
+def contested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ledgers whose rows contend, cleaned."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    left, right = (spark.sql(text.replace("from customer", "from {customer}").replace("{S}", "string"), customer=customer) for text in (CONTESTED_LEFT, CONTESTED_RIGHT))
+    return clean_left(left), clean_right(right)

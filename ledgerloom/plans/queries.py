@@ -23,17 +23,19 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c, kind in df.dtypes if kind.startswith("decimal")})
 
 
-def query(sql: str | None = None, amounts: str = ""):
+def query(sql: str | None = None, amounts: str = "", contested: bool = False):
     """Register a query under its function's name, with its SQL after the ledgers' common tables.
 
-    amounts: names of the SQL's columns that are decimals.
+    amounts: names of the SQL's columns that are decimals. contested: register it once more, as contested_<name>, over
+    the ledgers whose rows contend; the function takes the ledgers to use.
     """
 
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = lambda spark, sf_dir: _shown(f(spark, sf_dir))
-        if sql is not None:
-            cast = ", ".join(f"cast({c} as double) as {c}" for c in amounts.split())
-            ORACLES[f.__name__] = f"select * {f'replace ({cast})' if cast else ''} from (with recursive {L.CLEAN_SQL}{sql}) as q"
+        cast = ", ".join(f"cast({c} as double) as {c}" for c in amounts.split())
+        for name, tables, use in ((f.__name__, L.CLEAN_SQL, {}), (f"contested_{f.__name__}", L.CONTESTED_SQL, {"ledgers": L.contested}))[: 1 + contested]:
+            QUERIES[name] = lambda spark, sf_dir, use=use: _shown(f(spark, sf_dir, **use))
+            if sql is not None:
+                ORACLES[name] = f"select * {f'replace ({cast})' if cast else ''} from (with recursive {tables}{sql}) as q"
         return f
 
     return add
@@ -164,6 +166,17 @@ def policy_tokens(spark, sf_dir):
     return L.ledgers(spark, sf_dir)[0].select("l_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+@query(
+    """ select l_id, case when l_id % 5 < 3 then Amount end as amount from left_ledger""", amounts="amount")
+def numeric_coerce(spark, sf_dir):
+    """Amounts from text: plain, with white space and in exponents; grouped digits and words are none."""
+    left = L.raw_ledgers(spark, sf_dir)[0]
+    cents = (F.col("Amount") * 100).cast("long").cast("string")
+    text = F.col("Amount").cast("string")
+    forms = F.array(text, F.concat(F.lit("  "), text, F.lit(" ")), F.concat(cents, F.lit("e-2")), F.concat(F.lit("Rs "), text), F.lit("1,234.00"))
+    return left.select("l_id", S.to_amount(F.get(forms, (F.col("l_id") % 5).cast("int"))).alias("amount"))
+
+
 KEYS = ["PlacingNo", "PolicyNo", "ClientName", "Amount"]
 R_KEYS = ["PlacingNo", "PolicyNo_1", "ClientName", "Amount"]
 
@@ -202,10 +215,10 @@ def substring_overlap(spark, sf_dir):
     return placing.inside(*L.ledgers(spark, sf_dir)).select("l_id", "r_id", F.round(F.col("share") * 1000).cast("long").alias("per_mille"))
 
 
-@query(f"{CAND} select l_id, r_id, diff, tier, {C} as confidence from cand", amounts="diff")
-def amount_classify(spark, sf_dir):
+@query(f"{CAND} select l_id, r_id, diff, tier, {C} as confidence from cand", amounts="diff", contested=True)
+def amount_classify(spark, sf_dir, ledgers=L.ledgers):
     """Difference, tier and confidence of all candidates by placing number."""
-    return placing.candidates(*L.ledgers(spark, sf_dir)).select("l_id", "r_id", "diff", "tier", S.confidence(F.col("diff")).alias("confidence"))
+    return placing.candidates(*ledgers(spark, sf_dir)).select("l_id", "r_id", "diff", "tier", S.confidence(F.col("diff")).alias("confidence"))
 
 
 @query(
@@ -224,18 +237,18 @@ def name_similarity_sql(spark, sf_dir):
 # Pass 1
 
 
-@query(f"{CAND} select {T} as tier, count(*) as n, cast(sum(abs(l_amount + r_amount)) as decimal(28,2)) as total from eq group by 1", amounts="total")
-def p1_amount_tiers(spark, sf_dir):
+@query(f"{CAND} select {T} as tier, count(*) as n, cast(sum(abs(l_amount + r_amount)) as decimal(28,2)) as total from eq group by 1", amounts="total", contested=True)
+def p1_amount_tiers(spark, sf_dir, ledgers=L.ledgers):
     """Rows of equal placing number by tier."""
-    eq = placing.equal(*L.ledgers(spark, sf_dir))
+    eq = placing.equal(*ledgers(spark, sf_dir))
     diff = S.difference(F.col("l_amount"), F.col("r_amount"))
     return eq.groupBy(S.amount_tier(diff).alias("tier")).agg(F.count(F.lit(1)).alias("n"), F.sum(diff).cast("decimal(28,2)").alias("total"))
 
 
-@query(f"{CAND} select one.l_id, one.r_id, diff, tier from one join cand on one.l_id = cand.l_id and one.r_id = cand.r_id", amounts="diff")
-def p1_single(spark, sf_dir):
+@query(f"{CAND} select one.l_id, one.r_id, diff, tier from one join cand on one.l_id = cand.l_id and one.r_id = cand.r_id", amounts="diff", contested=True)
+def p1_single(spark, sf_dir, ledgers=L.ledgers):
     """The first right row within tolerance of each left row."""
-    return placing.single(placing.candidates(*L.ledgers(spark, sf_dir))).drop("note")
+    return placing.single(placing.candidates(*ledgers(spark, sf_dir))).drop("note")
 
 
 @query(f"{CAND} select l_id, r_id, diff, tier from cand where share is not null", amounts="diff")
@@ -244,49 +257,58 @@ def p1_substring(spark, sf_dir):
     return placing.candidates(*L.ledgers(spark, sf_dir)).where("share is not null").select("l_id", "r_id", "diff", "tier")
 
 
-def _top(spark, sf_dir):
-    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
+def _top(spark, sf_dir, ledgers):
+    found = settle(placing.candidates(*ledgers(spark, sf_dir)))
     return placing.top(found, placing.single(found))
 
 
-@query(f"{CAND} select l_id, r_id, place from top")
-def p1_top20(spark, sf_dir):
+@query(f"{CAND} select l_id, r_id, place from top", contested=True)
+def p1_top20(spark, sf_dir, ledgers=L.ledgers):
     """The 20 candidates nearest in amount, of left rows without a single match."""
-    return _top(spark, sf_dir).select("l_id", "r_id", F.col("place").cast("long").alias("place"))
+    return _top(spark, sf_dir, ledgers).select("l_id", "r_id", F.col("place").cast("long").alias("place"))
 
 
-@query(f"{CAND} select l_id, r_id from combo")
-def p1_combo(spark, sf_dir):
+@query(f"{CAND} select l_id, r_id from combo", contested=True)
+def p1_combo(spark, sf_dir, ledgers=L.ledgers):
     """Combinations of two to five right rows."""
-    return placing.combined(_top(spark, sf_dir))
+    return placing.combined(_top(spark, sf_dir, ledgers))
 
 
-@query(f"{CAND} select l_id, r_id from loose")
-def p1_partial(spark, sf_dir):
+@query(f"{CAND} select l_id, r_id from loose", contested=True)
+def p1_partial(spark, sf_dir, ledgers=L.ledgers):
     """Partial candidates."""
-    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
+    found = settle(placing.candidates(*ledgers(spark, sf_dir)))
     offers, links, _ = placing.offers(found)
     return links.join(offers.where("kind = 2").select("l_id"), "l_id", "left_semi")
 
 
-def _pass1(spark, sf_dir, *passes):
-    left, right = L.ledgers(spark, sf_dir)
-    left, right = settle(left), settle(right)
-    return left, right, R.reconcile(left, right, R.Profile(passes=passes or ("1",)))
+@query(
+    f"""{CAND} select one.l_id, 'Placing Number' || case when share is null then '' else ' (CBL in Insurer: ' || cast(cast(share * 100 as decimal(9,1)) as varchar) || '% overlap)' end
+  || ' + Single Amount Match (' || {C} || ' Confidence, Diff: $' || cast(cast(diff as decimal(18,2)) as varchar) || ')' as reason
+from one join cand on one.l_id = cand.l_id and one.r_id = cand.r_id""")
+def p1_reasons(spark, sf_dir):
+    """What the report says of left rows with a single match."""
+    offers, _, _ = placing.offers(settle(placing.candidates(*L.ledgers(spark, sf_dir))))
+    return offers.where("kind = 0").select("l_id", "reason")
+
 
+def _pass1(spark, sf_dir, ledgers=L.ledgers):
+    left, right = (settle(d) for d in ledgers(spark, sf_dir))
+    return left, right, R.reconcile(left, right, R.Profile(passes=("1",)))
 
-@query(f"{CAND} select l_id, r_id from own")
-def p1_claims(spark, sf_dir):
+
+@query(f"{CAND} select l_id, r_id from own", contested=True)
+def p1_claims(spark, sf_dir, ledgers=L.ledgers):
     """Which left row owns which right row after pass 1."""
-    found = settle(placing.candidates(*L.ledgers(spark, sf_dir)))
+    found = settle(placing.candidates(*ledgers(spark, sf_dir)))
     offers, links, _ = placing.offers(found)
     return claims.owners(offers, links)
 
 
-@query(f"{CAND} select l_id, status from after1")
-def p1_decisions(spark, sf_dir):
+@query(f"{CAND} select l_id, status from after1", contested=True)
+def p1_decisions(spark, sf_dir, ledgers=L.ledgers):
     """Status of every left row after pass 1."""
-    return _pass1(spark, sf_dir)[2].decisions.select("l_id", "status")
+    return _pass1(spark, sf_dir, ledgers)[2].decisions.select("l_id", "status")
 
 
 @query(f"{HITS} select r_id, count(distinct l_id) as claimants from hit group by r_id having count(distinct l_id) > 1")
@@ -295,19 +317,19 @@ def claims_multi(spark, sf_dir):
     return claims.contested(policy.hits(*L.ledgers(spark, sf_dir)))
 
 
-@query(f"{CAND} select (select count(distinct r_id) from own) as exact_used, (select count(distinct r_id) from loosely) as partial_used, (select count(distinct r_id) from (select r_id from own union all select r_id from loosely)) as used, (select count(*) from after1 where status = 'Exact Match') as exact_left, (select count(*) from after1 where status = 'Partial Match') as partial_left, (select count(*) from (select r_id from loosely group by r_id having count(distinct l_id) > 1)) as multi_claimed")
-def usage_summary(spark, sf_dir):
+@query(f"{CAND} select (select count(distinct r_id) from own) as exact_used, (select count(distinct r_id) from loosely) as partial_used, (select count(distinct r_id) from (select r_id from own union all select r_id from loosely)) as used, (select count(*) from after1 where status = 'Exact Match') as exact_left, (select count(*) from after1 where status = 'Partial Match') as partial_left, (select count(*) from (select r_id from loosely group by r_id having count(distinct l_id) > 1)) as multi_claimed", contested=True)
+def usage_summary(spark, sf_dir, ledgers=L.ledgers):
     """Counts of rows in use after pass 1."""
-    return claims.usage(_pass1(spark, sf_dir)[2])
+    return claims.usage(_pass1(spark, sf_dir, ledgers)[2])
 
 
 # Pass 2
 
 
-@query(f"{CAND} select r_id from pool")
-def p2_pool(spark, sf_dir):
+@query(f"{CAND} select r_id from pool", contested=True)
+def p2_pool(spark, sf_dir, ledgers=L.ledgers):
     """Right rows that pass 1 leaves for pass 2."""
-    _, right, state = _pass1(spark, sf_dir)
+    _, right, state = _pass1(spark, sf_dir, ledgers)
     return policy.pool(state, right).select("r_id")
 
 
@@ -326,6 +348,17 @@ def p2_decisions(spark, sf_dir):
     return policy.offers(policy.hits(*L.ledgers(spark, sf_dir))).select("l_id", "size", "diff", "confidence", "kind")
 
 
+@query(
+    # rows without an amount add nothing
+    f"""{HITS}, per as (select l_id, count(*) as size, abs(any_value(l_amount) + coalesce(sum(r_amount), 0)) as diff from hit group by l_id)
+select l_id, r_id from (select h.l_id, h.r_id, row_number() over (partition by h.r_id order by p.size desc, h.l_id) as n from hit h join per p on h.l_id = p.l_id where p.diff <= 200) where n = 1""",
+    contested=True)
+def p2_claims(spark, sf_dir, ledgers=L.ledgers):
+    """Which left row would own which right row after pass 2 over whole ledgers: larger offers first."""
+    found = settle(policy.hits(*ledgers(spark, sf_dir)))
+    return claims.owners(policy.offers(found), found.select("l_id", "r_id"))
+
+
 # Pass 3 over whole ledgers
 
 
@@ -369,6 +402,29 @@ def p3_partial(spark, sf_dir):
     return naming.partials(*rows, settle(naming.choices(naming.sums(*rows, naming.near(*rows)))), none).select("l_id", "r_id", "diff", "tier")
 
 
+@query(
+    f"""{MET}, k as (
+  select m.l_id, m.r_id, count(*) over (partition by m.l_id) as size from met m join choice c on m.l_id = c.l_id
+  where take = 'all' or (take = 'single' and tier in ('PERFECT_MATCH', 'EXACT_MATCH')) or (take = 'one' and m.r_id = close_id) or (take = 'rest' and tier not in ('PERFECT_MATCH', 'EXACT_MATCH'))
+) select l_id, r_id from (select l_id, r_id, row_number() over (partition by r_id order by size desc, l_id) as n from k) where n = 1""")
+def p3_claims(spark, sf_dir):
+    """Which left row would own which right row after pass 3 over whole ledgers, groups aside."""
+    left, right, pairs = _pairs(spark, sf_dir)
+    return claims.owners(*naming.offers(left, right, pairs, right.select("r_id").where("false")))
+
+
+@query(
+    """, b as (select distinct 'MR ' || left(name, length(name) - 1) as name from l where name is not null), a as (select distinct name from l where name is not null)
+select a.name as l_name, b.name as r_name, cast(round(100 * 2 * (length(a.name) - 1) / (2 * length(a.name) - 1.0)) as int) as score from a join b
+  on list_contains(list_transform(range(1, length(a.name) + 1), lambda i: left(a.name, i - 1) || substr(a.name, i + 1)), right(b.name, length(a.name) - 1))""",
+    contested=True)
+def p3_fuzzy_pairs(spark, sf_dir, ledgers=L.ledgers):
+    """Names against the same ones with a title before them and without their last letter, none of which holds another."""
+    left, _ = ledgers(spark, sf_dir)
+    cut = left.select(F.concat(F.lit("MR "), F.expr("left(name, length(name) - 1)")).alias("name"))
+    return names.alike(left, cut)
+
+
 @query()
 def p3_distribution(spark, sf_dir):
     """Left and right rows of the groups that apply, in order."""
@@ -422,10 +478,10 @@ def explode_merge(spark, sf_dir):
 COVER = f"{REPORT}, covered as (select r.r_id, r.amount, case when r.r_id in (select r_id from own) then 'Exact Match' when r.r_id in (select r_id from loosely) then 'Partial Match' else 'No Match' end as status from r)"
 
 
-@query(f"{COVER} select r_id, status from covered")
-def coverage(spark, sf_dir):
+@query(f"{COVER} select r_id, status from covered", contested=True)
+def coverage(spark, sf_dir, ledgers=L.ledgers):
     """Every right row's coverage after pass 1."""
-    _, right, state = _pass1(spark, sf_dir)
+    _, right, state = _pass1(spark, sf_dir, ledgers)
     return report.coverage(right, report.final_decisions(state)[1]).select("r_id", "status")
 
 
@@ -436,20 +492,20 @@ def _sum_sql(status: str) -> str:
 @query(
     f"{CAND} select "
     + ", ".join(f"count(*) filter (status = '{s}') as {n}_matches, {_sum_sql(s)} as {n}_match_amount" for n, s in (("exact", "Exact Match"), ("partial", "Partial Match"), ("no", "No Match")))
-    + " from l join after1 on l.l_id = after1.l_id", amounts="exact_match_amount partial_match_amount no_match_amount")
-def left_stats(spark, sf_dir):
+    + " from l join after1 on l.l_id = after1.l_id", amounts="exact_match_amount partial_match_amount no_match_amount", contested=True)
+def left_stats(spark, sf_dir, ledgers=L.ledgers):
     """Statistics of the left ledger after pass 1."""
-    left, _, state = _pass1(spark, sf_dir)
+    left, _, state = _pass1(spark, sf_dir, ledgers)
     return report.left_stats(left, report.final_decisions(state)[0])
 
 
 @query(
     f"{COVER} select count(*) as total_rows, "
     + ", ".join(f"count(*) filter (status = '{s}') as {n}_rows, count(*) filter (status = '{s}') * 100.0::double / count(*) as {n}_rate, {_sum_sql(s)} as {n}_amount" for n, s in (("exact_match", "Exact Match"), ("partial_match", "Partial Match"), ("unmatched", "No Match")))
-    + " from covered", amounts="exact_match_amount partial_match_amount unmatched_amount")
-def right_stats(spark, sf_dir):
+    + " from covered", amounts="exact_match_amount partial_match_amount unmatched_amount", contested=True)
+def right_stats(spark, sf_dir, ledgers=L.ledgers):
     """Statistics of the right ledger after pass 1."""
-    _, right, state = _pass1(spark, sf_dir)
+    _, right, state = _pass1(spark, sf_dir, ledgers)
     return report.right_stats(report.coverage(right, report.final_decisions(state)[1]))
 
 
