@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 #: What a header row may hold (fixed values).
 HEADER_PATTERNS = ["placing.*no", "client.*name", "policy.*no", "balance", "amount", "premium", "brokerage", "currency|curr", "period.*insurance", "insurance.*type"]
 PROBE_ROWS = 20
+#: A column that says where in its workbook a row stood.
+PLACE = "_place"
+#: Columns that the flow adds to a sheet's own.
+ADDED = ("_source_sheet", PLACE)
 #: Canonical names of the two sides (fixed values).
 LEFT_NAMES = ["PlacingNo", "PolicyNo", "ClientName", "Amount"]
 RIGHT_NAMES = ["PlacingNo", "PolicyNo_1", "PolicyNo_2", "ClientName", "Amount"]
@@ -40,11 +44,11 @@ def header_rows(grid: DataFrame) -> DataFrame:
     return best.select("sheet", F.when(F.col("m.score") >= 2, -F.col("m.at")).otherwise(0).cast("int").alias("header_row"))
 
 
-def body(grid: DataFrame, header_row: int, names: list[str]) -> DataFrame:
-    """Rows below the header as columns: without repeated headers and rows that are empty."""
+def body(grid: DataFrame, header_row: int, names: list[str], place: Column | None = None) -> DataFrame:
+    """Rows below the header as columns: without repeated headers and rows that are empty; PLACE is what `place` says."""
     rows = grid.where(F.col("row_idx") > header_row)
     cells = [F.get("cells", F.lit(k)).alias(n) for k, n in enumerate(names)]
-    out = rows.select(*cells)
+    out = rows.select(*cells, *([] if place is None else [place.alias(PLACE)]))
     if header_row > 0:
         out = out.where(~F.col(f"`{names[0]}`").eqNullSafe(F.lit(names[0])))
     return out.where(F.coalesce(*[F.col(f"`{n}`") for n in names]).isNotNull())
@@ -80,7 +84,7 @@ def merge_sheets(sheets: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in sheets.items():
         tagged = df.withColumn("_source_sheet", F.lit(name))
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    names = [c for c in out.columns if c != "_source_sheet"]
+    names = [c for c in out.columns if c not in ADDED]
     values = F.array(*[F.lower(F.trim(F.col(f"`{c}`").cast("string"))) for c in names])
     again = F.size(F.array_intersect(F.array(*[F.lit(c.strip().lower()) for c in names]), values))
     return out.where(again * 2 <= len(names))
@@ -90,7 +94,7 @@ def read_sheets(sheets: Mapping[str, DataFrame], rows: Mapping[str, int]) -> Dat
     """One sheet as it is, sheets that are all alike merged, else the one with most rows."""
     if len(sheets) == 1:
         return next(iter(sheets.values()))
-    if len(group_sheets({n: d.columns for n, d in sheets.items()})) == 1:
+    if len(group_sheets({n: [c for c in d.columns if c not in ADDED] for n, d in sheets.items()})) == 1:
         return merge_sheets(sheets)
     return sheets[max(sheets, key=lambda n: rows[n])]
 
@@ -105,6 +109,35 @@ def parse_mapping(text: str) -> dict[str, str]:
     return json.loads(re.sub(r",\s*([}\]])", r"\1", text))
 
 
+def hybrid(columns: Column, names: list[str], text: Column) -> Column:
+    """Map of source column to canonical name: own names, overlaid by the JSON text, for the columns that exist.
+
+    A text that is null or no JSON overlays nothing.
+    """
+    custom = F.coalesce(mapping(text), F.create_map().cast("map<string,string>"))
+    own = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.lit(n) for n in names]))
+    kept = F.map_filter(own, lambda k, _: ~F.map_contains_key(custom, k))
+    return F.map_filter(F.map_concat(kept, custom), lambda k, _: F.array_contains(columns, k))
+
+
+def custom_mapping(text: str | None) -> dict[str, str]:
+    """A mapping from JSON text; none if it isn't one."""
+    try:
+        found = parse_mapping(text) if text else {}
+    except ValueError:
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def matrix_list(items: DataFrame, insurer: str | None = None) -> DataFrame:
+    """(rule_id, rule) of a matrix list (folder, position, matrix_key), of one insurer's folder in any case.
+
+    Keys that are null or blank are no rules; a rule's id is its place in the list.
+    """
+    mine = items if insurer is None else items.where(F.lower("folder") == insurer.lower())
+    return mine.where(F.length(F.trim("matrix_key")) > 0).select(F.col("position").alias("rule_id"), F.col("matrix_key").alias("rule"))
+
+
 def column_mapping(columns: list[str], names: list[str], custom: Mapping[str, str] | None = None) -> dict[str, str]:
     """Source column -> canonical name: own names as they are, overlaid by custom, for columns that exist."""
     return {s: t for s, t in ({n: n for n in names} | dict(custom or {})).items() if s in columns}

@@ -1,7 +1,7 @@
 """Workbooks (.xlsx) as a source and a sink, with the standard library alone.
 
-Read: read_grid gives one row per row of a sheet: path, sheet, row_idx (from 0) and cells (array of text). Files are
-read through Spark, so any store will do. Write: write_workbook puts tables into the
+Read: read_grid gives one row per row of a sheet: path, sheet, sheet_idx and row_idx (from 0) and cells (array of text).
+Files are read through Spark, so any store will do. Write: write_workbook puts tables into the
 sheets of one file; a workbook is one file by nature, so its rows pass through the driver in batches, in bounded
 memory, and a report too large for a sheet (1,048,576 rows) raises an error instead of being cut.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 MOST_ROWS = 1_048_576
-GRID = "path string, sheet string, row_idx int, cells array<string>"
+GRID = "path string, sheet string, sheet_idx int, row_idx int, cells array<string>"
 
 
 def _column(ref: str) -> int:
@@ -33,8 +33,8 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def read_workbook(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
-    """(sheet, row_idx, cells) of every row of a workbook; rows of a sheet are as wide as its widest."""
+def read_workbook(data: bytes) -> Iterator[tuple[str, int, int, list[str | None]]]:
+    """(sheet, sheet_idx, row_idx, cells) of every row of a workbook; rows of a sheet are as wide as its widest."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
         shared = []
@@ -42,7 +42,7 @@ def read_workbook(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
             for item in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{MAIN}si"):
                 shared.append("".join(t.text or "" for t in item.iter(f"{MAIN}t")))
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{MAIN}sheet"):
+        for number, sheet in enumerate(ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{MAIN}sheet")):
             target = targets[sheet.get(f"{RELATION}id")].lstrip("/")
             path = target if target.startswith("xl/") else f"xl/{target}"
             rows: list[tuple[int, dict[int, str]]] = []
@@ -58,17 +58,17 @@ def read_workbook(data: bytes) -> Iterator[tuple[str, int, list[str | None]]]:
                 rows.append((int(row.get("r") or len(rows) + 1) - 1, cells))
             width = max((max(c, default=-1) + 1 for _, c in rows), default=0)
             for at, cells in rows:
-                yield sheet.get("name"), at, [cells.get(k) or None for k in range(width)]
+                yield sheet.get("name"), number, at, [cells.get(k) or None for k in range(width)]
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
-    """The cells of all workbooks below path: path, sheet, row_idx, cells. One task reads a workbook."""
+    """The cells of all workbooks below path: path, sheet, sheet_idx, row_idx, cells. One task reads a workbook."""
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for name, data in zip(part["path"], part["content"], strict=True):
                 found = [(name, *r) for r in read_workbook(data)]
-                yield pd.DataFrame(found, columns=["path", "sheet", "row_idx", "cells"])
+                yield pd.DataFrame(found, columns=["path", "sheet", "sheet_idx", "row_idx", "cells"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(rows, GRID)

@@ -44,6 +44,48 @@ def test_landing_folder(spark, tmp_path):
     assert {r.folder: r.status for r in landing.latest(spark.read.parquet(status)).collect()} == {"/in/a": "Manual Review", "/in/b": "pending", "/in/c": "Manual Review"}
 
 
+def test_landing_folder_goes_on_after_a_failure(spark, tmp_path):
+    status = str(tmp_path / "status")
+    for folder in ("a", "b/c"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        for name in ("CBL.xlsx", "ins.xlsx", "notes.txt"):
+            (tmp_path / "in" / folder / name).write_bytes(b"x")
+    files = landing.crawl(spark, str(tmp_path / "in"))
+    folders = sorted(r.folder for r in landing.ledger_files(files).collect())
+    assert [f.rsplit("/in/", 1)[1] for f in folders] == ["a", "b/c"]
+    for folder in folders:
+        landing.mark(spark, status, folder, "pending")
+
+    def work(folder, left, right):
+        if folder == folders[0]:
+            raise ValueError("no sheet with rows")
+
+    assert landing.run_pending(spark, status, files, work) == folders[1:]
+    assert {r.folder: r.status for r in landing.latest(spark.read.parquet(status)).collect()} == {folders[0]: "Failed", folders[1]: "Manual Review"}
+    assert landing.run_pending(spark, status, files, work) == []
+
+
+def test_mappings_fall_back(spark):
+    assert ingest.custom_mapping('{"a": "b",}') == {"a": "b"} and ingest.custom_mapping("{broken") == ingest.custom_mapping("[1]") == ingest.custom_mapping(None) == {}
+    items = spark.createDataFrame([("Acme", 3, "a|x"), ("ACME", 1, "b|y"), ("Other", 2, "c|z"), ("acme", 4, " "), ("acme", 5, None)], "folder string, position long, matrix_key string")
+    assert {tuple(r) for r in ingest.matrix_list(items, "acme").collect()} == {(3, "a|x"), (1, "b|y")}
+
+
+def test_workbook_rows_keep_their_order_and_rules_apply(spark, tmp_path):
+    from ledgerloom.plans import workbooks
+
+    left = spark.createDataFrame([("Z9", "zed", "-10"), ("A1", "ann", "-20"), ("M5", "max", "-7")], "PlacingNo string, ClientName string, Amount string").coalesce(1)
+    more = spark.createDataFrame([("B2", "bob", "-1")], "PlacingNo string, ClientName string, Amount string")
+    right = spark.createDataFrame([("Q", "other", "30")], "PlacingNo string, ClientName string, Amount string")
+    xlsx.write_workbook({"Zulu": left, "Alpha": more}, str(tmp_path / "l.xlsx"))
+    xlsx.write_workbook({"S": right}, str(tmp_path / "r.xlsx"))
+    rows = workbooks.read_ledger(spark, str(tmp_path / "l.xlsx")).orderBy(ingest.PLACE).collect()
+    assert [r.PlacingNo for r in rows] == ["Z9", "A1", "M5", "B2"] and [r[ingest.PLACE] for r in rows][:3] == [0, 1, 2]
+    rules = spark.createDataFrame([(1, "Z9#zed,A1#ann|Q#other")], "rule_id long, rule string")
+    tables = workbooks.run(spark, str(tmp_path / "l.xlsx"), str(tmp_path / "r.xlsx"), rules=rules, key_columns=(["PlacingNo", "ClientName"], ["PlacingNo", "ClientName"]))
+    assert sorted(r.PlacingNo for r in tables["exact match cbl"].collect()) == ["A1", "Z9"]
+
+
 def test_stream(spark, tmp_path):
     schema = "l_id long, r_id long, l_amount decimal(18,2), r_amount decimal(18,2)"
     spark.sql("select 1L l_id, 2L r_id, cast(-5 as decimal(18,2)) l_amount, cast(5 as decimal(18,2)) r_amount").write.parquet(str(tmp_path / "in"))
