@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .plans import reconcile, workbooks
 from .sources import ingest, xlsx
-from .storage import settle
+from .storage import scratch, settle
 
 
 def main() -> None:
@@ -31,12 +31,18 @@ def main() -> None:
     # a mapping that is no JSON counts as none: the columns' own names are taken
     maps = [ingest.custom_mapping(text) for text in (args.left_map, args.right_map)]
     profile = reconcile.LEGACY if args.legacy else reconcile.MODULAR
+    with scratch(spark):
+        report(spark, args, maps, profile, rules)
+    spark.stop()
+
+
+def report(spark, args, maps, profile, rules) -> None:
+    """Run and write; what the run settles is gone afterwards."""
     tables = workbooks.run(spark, args.left, args.right, *maps, profile, rules, (args.left_keys.split(","), args.right_keys.split(",")))
     if args.output.endswith(".xlsx"):
         xlsx.write_workbook(tables, args.output)
     else:
         xlsx.write_tables(tables, args.output)
-    spark.stop()
 
 
 if __name__ == "__main__":

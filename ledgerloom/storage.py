@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders made below the shared one and not yet removed, by application.
+#: Folders named below the shared one and not yet removed, by application.
 _made: dict[str, list[str]] = {}
 
 
@@ -32,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, what: str) -> str:
-    """A path below the shared folder that nothing else uses; release() removes it."""
+    """A path below the shared folder that nothing else uses; remove() and scratch() delete it."""
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
@@ -46,14 +48,21 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
-    """Remove what this application has written to the shared folder, but for the paths to keep.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that new_folder() named."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
 
-    To be called once results are written: DataFrames that still read such a table can't be used afterwards.
-    """
-    app = spark.sparkContext.applicationId
-    for path in _made.get(app, []):
-        if path not in keep:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    _made[app] = [path for path in _made.get(app, []) if path in keep]
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was settled inside; results must be written by then."""
+    before = set(_made.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        for path in [p for p in _made.get(spark.sparkContext.applicationId, []) if p not in before]:
+            remove(spark, path)
