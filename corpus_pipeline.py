@@ -1,7 +1,7 @@
 """A corpus pipeline over documents: language, toxicity, near-duplicates, mixing and token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes what it returns as Parquet below the shared
-folder and gives what it reads from there to the next. Stages judge their own input: classifiers learn from labelled
+folder, gives what it reads from there to the next and removes what no stage needs any more. Stages judge their own input: classifiers learn from labelled
 rows of the tables in sf_dir and score every row they get. Rows with a null in any column go through all stages.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, jaccard_join, language_id, mixing, toxicity
 from ledgerloom.llm.queries import WEIGHTS, bpe_digests
-from ledgerloom.llm.shared import new_folder
+from ledgerloom.storage import new_folder, remove, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +52,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = f"{new_folder(spark, 'pipeline')}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        path = new_folder(spark, f"pipeline-{name}")
+        with scratch(spark):  # what a stage settles is not needed once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
