@@ -532,7 +532,7 @@ def reconcile_summary(spark, sf_dir):
 # Ingest: customers dealt over sheets as grids of cells
 
 
-def _plain(name: str, sql: str):
+def plain(name: str, sql: str):
     def add(f: Query) -> Query:
         QUERIES[name], ORACLES[name] = f, sql
         return f
@@ -540,7 +540,7 @@ def _plain(name: str, sql: str):
     return add
 
 
-@_plain(
+@plain(
     "header_detect",
     """with g as (
   select n_nationkey as sheet, 0 as row_idx, [cast('Statement of ' || n_name as varchar), null, null, null, null] as cells from nation
@@ -559,7 +559,7 @@ def header_detect(spark, sf_dir):
     return ingest.header_rows(grid)
 
 
-@_plain(
+@plain(
     "sheet_similarity",
     """with w as (select n_nationkey, list_distinct(string_split(lower(trim(n_name)), '')) as w from nation)
 select a.n_nationkey as a, b.n_nationkey as b, round(len(list_intersect(a.w, b.w)) * 1000000.0 / len(list_distinct(list_concat(a.w, b.w))))::bigint as similarity
@@ -573,7 +573,7 @@ def sheet_similarity(spark, sf_dir):
     return pairs.select("a", "b", F.round(ingest.similarity(F.col("wa"), F.col("wb")) * 1000000).cast("long").alias("similarity"))
 
 
-@_plain(
+@plain(
     "sheet_merge",
     """select cast(c_custkey as varchar) as id, c_name as name, case when c_custkey % 2 = 0 then c_mktsegment end as segment,
   case when c_custkey % 2 = 0 then 'even' else 'odd' end as _source_sheet from customer""",
@@ -586,7 +586,7 @@ def sheet_merge(spark, sf_dir):
     return ingest.merge_sheets({"even": even, "odd": odd})
 
 
-@_plain("json_mapping", "select n_nationkey, n_name as source, lower(n_name) as target from nation")
+@plain("json_mapping", "select n_nationkey, n_name as source, lower(n_name) as target from nation")
 def json_mapping(spark, sf_dir):
     """Column mappings from JSON with trailing commas."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")

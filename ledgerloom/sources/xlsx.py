@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import io
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterator, Mapping
+from decimal import Decimal
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -83,10 +85,14 @@ def _cell(value) -> str:
     return f"<c><v>{value!r}</v></c>"
 
 
-def write_workbook(tables: Mapping[str, DataFrame], target: str) -> None:
-    """One workbook with a sheet per table, written to a local path."""
-    from decimal import Decimal
-
+def write_workbook(tables: Mapping[str, DataFrame], target: str, spark: SparkSession | None = None) -> None:
+    """One workbook with a sheet per table, written to a local path; with spark to a path of any store it knows."""
+    if spark is not None:
+        with tempfile.TemporaryDirectory() as folder:  # the driver's own file, moved to the store when it is whole
+            write_workbook(tables, f"{folder}/book.xlsx")
+            path = spark._jvm.org.apache.hadoop.fs.Path
+            path(target).getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(False, True, path(f"file:{folder}/book.xlsx"), path(target))
+        return
     sheets = list(tables)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
@@ -108,7 +114,7 @@ def write_workbook(tables: Mapping[str, DataFrame], target: str) -> None:
             with z.open(f"xl/worksheets/sheet{k}.xml", "w") as f:
                 f.write(f'<?xml version="1.0"?><worksheet xmlns="{MAIN[1:-1]}"><sheetData>'.encode())
                 f.write(("<row>" + "".join(_cell(c) for c in df.columns) + "</row>").encode())
-                for row in df.toLocalIterator():
+                for row in df.toLocalIterator(prefetchPartitions=True):
                     n += 1
                     if n > MOST_ROWS:
                         raise ValueError(f"{name} has more rows than a sheet holds; write it as Parquet")
