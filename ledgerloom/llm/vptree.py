@@ -7,8 +7,9 @@ than t from the median shell: |d - median| > factor * t. By the triangle inequal
 be nearer, so the search is exact; a smaller factor skips more and finds less. All queries of a block go down the
 tree together, and a leaf is compared with those that reach it by one matrix product.
 
-Every row is in exactly one shard (by hash), every query block meets every shard once, and the best k per shard are
-merged per query: k rows per query and shard. A shard's rows and a block's queries bound a task's memory.
+Every row is in exactly one shard (by hash) and is sent there once; every query meets every shard once, and the best k
+per shard are merged per query: k rows per query and shard. A shard's tree is built once, before its queries come in
+blocks. A shard's rows and a block's queries bound a task's memory.
 
 Scores are the sum of products of the given components in double precision, in order of the components. The matrix
 product only preselects, with a slack far above its rounding.
@@ -128,6 +129,38 @@ class VantagePointTree:
         self.best_score[mine], self.best_id[mine] = score[top], found[top]
 
 
+def _shards(parts: Iterator[pa.RecordBatch], size: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """Per shard of a partition its ids, vectors and the blocks of its queries, `most` at a time; blocks are read as asked for."""
+
+    def cut() -> Iterator[tuple[int, bool, np.ndarray, np.ndarray]]:
+        for part in parts:
+            shard, asks, ids = (part[c].to_numpy(zero_copy_only=False) for c in ("shard", "asks", "vec_id"))
+            x = part["vector"].flatten().to_numpy().reshape(len(ids), size)
+            edges = [0, *(np.flatnonzero((np.diff(shard) != 0) | (asks[1:] != asks[:-1])) + 1).tolist(), len(ids)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a < b:
+                    yield int(shard[a]), bool(asks[a]), ids[a:b], x[a:b]
+
+    runs = cut()
+    ahead = next(runs, None)
+
+    def take(shard: int, asks: bool, rows: int | None) -> tuple[np.ndarray, np.ndarray] | None:
+        nonlocal ahead
+        ids, x, held = [], [], 0
+        while ahead is not None and ahead[:2] == (shard, asks) and (rows is None or held < rows):
+            ids.append(ahead[2])
+            x.append(ahead[3])
+            held += len(ahead[2])
+            ahead = next(runs, None)
+        return (np.concatenate(ids), np.concatenate(x)) if ids else None
+
+    none = np.zeros(0, dtype=np.int64), np.zeros((0, size))
+    while ahead is not None:
+        shard = ahead[0]
+        ids, x = take(shard, False, None) or none
+        yield ids, x, iter(lambda shard=shard: take(shard, True, most), None)
+
+
 def nearest(
     df: DataFrame,
     queries: Column,
@@ -145,27 +178,22 @@ def nearest(
     sizes = rows.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("asked"))
     found = sizes.orderBy(F.desc("asked"), F.desc("n"), "size").limit(1).collect()
     size, n, asked = found[0] if found else (0, 0, 0)
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-asked // block_queries))
+    shards = max(1, -(-n // shard_rows))
     same = rows.where(F.size("vector") == size)
     place = F.xxhash64("vec_id")
-    held = same.select(
-        F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("asks"), "vec_id", "vector"
-    )
-    asking = same.where("asks").select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(place, F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("asks"), "vec_id", "vector"
-    )
-
-    def search(key: tuple, table: pa.Table) -> pa.Table:
-        ids = table["vec_id"].to_numpy()
-        x = table["vector"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        asks = table["asks"].to_numpy()
-        tree = VantagePointTree(ids[~asks], x[~asks])
-        asked_ids, asked_x = np.ascontiguousarray(ids[asks]), x[asks]
-        row, near, score = tree.search(asked_ids, asked_x, k, factor)
-        return pa.table({"query_id": asked_ids[row], "at": row, "vec_id": near, "score": score})
-
-    cells = held.unionByName(asking).groupBy("shard", "block")
-    best = cells.applyInArrow(search, "query_id long, at long, vec_id long, score double")
+    held = same.select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vec_id", "vector")
+    asking = same.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "asks", "vec_id", "vector")
+
+    def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, x, queries in _shards(parts, size, block_queries):
+            tree = VantagePointTree(ids, x)
+            for asked_ids, asked_x in queries:
+                row, near, score = tree.search(asked_ids, asked_x, k, factor)
+                yield pa.RecordBatch.from_arrays([pa.array(asked_ids[row]), pa.array(near), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    # a shard's rows come first, its queries after them
+    dealt = held.unionByName(asking).repartition("shard").sortWithinPartitions("shard", "asks")
+    best = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
