@@ -509,3 +509,67 @@ def test_repeated_vectors_and_ids(spark):
     assert all(r.n_links >= 2 for r in found if r.vec_id == 3 and r.n_links) and [r.component_id for r in found if r.vec_id is None] == [None, None]
     near = vptree.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()
     assert all(r.vec_id != r.query_id and r.vec_id is not None for r in near) and {r.query_id for r in near} == {0, 20, 40}
+
+
+def test_language_codes_against_brute_force():
+    """Language, score and ambiguity from plain loops over n-grams and codewords; ties, repeats and a very long text too."""
+    rng = random.Random(15)
+    letters = {"aa": "abcde", "bb": "defgh", "cc": "ghijk", "dd": "klméñ"}
+    texts = [(lang, prose(rng, letters[lang], 30)) for lang in letters for _ in range(40)]
+    x = np.zeros((len(texts), language_id.BUCKETS), dtype=np.float32)
+    for row, (_, text) in zip(x, texts, strict=True):
+        at, times = language_id.counts(language_id.plain(text))
+        row[at] = times
+    model = language_id.Codes(list(letters), x, np.array([list(letters).index(lang) for lang, _ in texts]))
+    asked = [t for _, t in texts[::7]] + [texts[0][1], texts[0][1], None, "", "12 !", "a", "é", prose(rng, "abcdeklm", 60), prose(rng, letters["cc"], 60_000), "ABCDE 77 abcde"]
+    got = model.predict(asked)
+
+    def bucket(*b):
+        value = 0
+        for k, v in enumerate(b):
+            value = (value * (257 if k == 1 else 263) + v) % 2**32 if k else v
+        times, plus = {1: (2654435761, 0), 2: (2246822519, 77), 3: (3266489917, 191)}[len(b)]
+        return ((value * times + plus) % 2**32) >> (32 - (language_id.BUCKETS - 1).bit_length())
+
+    for text, lang, score, ambiguous in zip(asked, got["lang"], got["score"], got["ambiguous"], strict=True):
+        raw = re.sub(r"[\W\d_]+", " ", text or "").strip().lower()
+        if not raw:
+            assert (lang, score) == ("und", 0)
+            continue
+        data = f" {raw} ".encode()
+        held = {}
+        for i in range(len(data) - 2):
+            for n in (1, 2, 3):
+                held[bucket(*data[i : i + n])] = held.get(bucket(*data[i : i + n]), 0) + 1
+        total = sum(held.values())
+        outputs = [sum(np.sqrt(c / total) * float(model.w[b, k]) for b, c in held.items()) + model.bias[k] for k in range(model.code.shape[1])]
+        loss = [sum(w * np.log1p(np.exp(-int(c) * o)) for w, c, o in zip(model.bit_weight, word, outputs, strict=True)) for word in model.code]
+        order = sorted(range(len(loss)), key=lambda k: loss[k])
+        share = np.exp(-3 * (np.array(loss) - min(loss)))
+        apart = sum(w for w, a, b in zip(model.bit_weight, model.code[order[0]], model.code[order[1]], strict=True) if a != b)
+        margin = (loss[order[1]] - loss[order[0]]) / apart / model.typical[order[0]]
+        assert lang == list(letters)[order[0]] and abs(score - share[order[0]] / share.sum()) < 1e-4
+        assert ambiguous == (margin < language_id.AMBIGUOUS) or abs(margin - language_id.AMBIGUOUS) < 1e-3
+
+
+def test_language_training_rows_are_the_same_whatever_the_order(spark):
+    rng = random.Random(16)
+    rows = [(i % 90, prose(rng, "abc" if i % 2 else "def", 8), "aa" if i % 2 else "bb") for i in range(400)] + [(i, None, "cc") for i in range(50)] + [(i, "12", "dd") for i in range(50)]
+    models = [language_id.fit(spark.createDataFrame(r, "doc_id long, text string, lang string").repartition(n), F.lit(True), sample=20) for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert models[0].languages == models[1].languages == ["aa", "bb"]
+    assert (models[0].w == models[1].w).all() and (models[0].typical == models[1].typical).all()
+
+
+def test_tokens_of_all_kinds_of_characters():
+    """Both encoders against the library over code points in context, every one below 0x600 and each 41st above."""
+    from tokenizers import Tokenizer
+
+    points = [*range(1, 0x600), *range(0x600, 0xD800, 41), *range(0xE000, 0x110000, 1009)]
+    texts = ["".join(f"a{chr(p)}b {chr(p)}{chr(p)} 1{chr(p)}.\n{chr(p)} X" for p in points[k : k + 12]) for k in range(0, len(points), 12)]
+    byte, word = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+    own = bpe.SegmentTreeBPE(bpe.load_spec(byte))
+    want = [e.ids for e in Tokenizer.from_file(byte).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in own.encode_batch(texts)] == want
+    own = simple8b.WordTokenizer(bpe.load_spec(word))
+    want = [e.ids for e in Tokenizer.from_file(word).encode_batch(texts, add_special_tokens=False)]
+    assert [own.encode(t).tolist() for t in texts] == want

@@ -60,3 +60,10 @@ def test_run(spark, tables):
     assert rows and not kept & {2000, 2001} and not any(i is not None and i < 400 and i % 8 == 0 for i in kept) and not any(i is not None and i >= 1000 for i in kept)
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
     assert language_id.UNKNOWN == "und"
+
+
+def test_stages_of_an_empty_table(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, tables)
+        assert found.count() == 0 and (name == "encoded" or found.columns == docs.columns)
