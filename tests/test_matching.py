@@ -168,3 +168,47 @@ def test_matrix_rules(spark):
     state = R.reconcile(left(spark, (1, None, [], "N", "-5"), (2, None, [], "O", "-5")), right(spark, (10, None, None, None, "N", "10")), R.Profile(passes=()), rules, lk, rk)
     assert outcome(state) == {1: ("Exact Match", [10]), 2: ("Exact Match", [10])}
     assert state.decisions.where(F.col("resolved_in") == "matrix").count() == 2
+
+
+def test_groups_against_taking_pairs_in_turn(spark):
+    """Groups and their rows over many alike names whose totals contend, against pairs taken one by one by rank."""
+    rng = random.Random(9)
+    names_ = [f"NORTHERN TRADING COMPANY {k:02d}" for k in range(14)]
+    a_rows = [(i, None, [], rng.choice(names_), str(-rng.choice([50, 100, 150]))) for i in range(40)]
+    b_rows = [(1000 + i, None, None, None, rng.choice(names_), str(rng.choice([40, 60, 110, 150]))) for i in range(60)]
+    a, b = left(spark, *a_rows), right(spark, *b_rows)
+    got = {(r.l_id, r.r_id) for r in naming.distributed(naming.settled_groups(naming.groups(a, b, names.alike(a, b))), a, b).collect()}
+    of_left, of_right = {}, {}
+    for i, _, _, n, x in a_rows:
+        of_left.setdefault(n, []).append((i, int(x)))
+    for i, _, _, _, n, x in b_rows:
+        of_right.setdefault(n, []).append((i, int(x)))
+    pairs = [
+        (-len(q), p[0][0], q[0][0], x, y) for x, p in of_left.items() for y, q in of_right.items()
+        if S._partial_ratio(x, y) >= 95 and len(p) <= len(q) and abs(sum(v for _, v in p) + sum(v for _, v in q)) <= 100
+    ]
+    used, want = set(), set()
+    for *_, x, y in sorted(pairs):
+        if ("l", x) not in used and ("r", y) not in used:
+            used |= {("l", x), ("r", y)}
+            want |= {(i, j) for (i, _), (j, _) in zip(of_left[x], of_right[y], strict=False)}
+    assert got == want and len(want) > 5
+
+
+def test_rows_near_in_amount_are_those_of_all_rows(spark):
+    """The join by stretches of amounts, and what is left over, against all rows of alike names; nulls and negative ones too."""
+    rng = random.Random(10)
+    amounts = [None, *range(-450, 451, 50), 0.01, -0.01, 99.99, 100.01, 200, 200.01]
+    a = left(spark, *[(i, None, [], rng.choice(["ANN", "BOB SMITH", None]), (lambda v: None if v is None else str(v))(rng.choice(amounts))) for i in range(60)])
+    b = right(spark, *[(i, None, None, None, rng.choice(["ANN X", "BOB SMITH", None]), (lambda v: None if v is None else str(v))(rng.choice(amounts))) for i in range(60)])
+    pairs = names.alike(a, b)
+    found = naming.near(a, b, pairs)
+    every = naming.met(a, b, pairs).collect()
+    near = {(r.l_id, r.r_id, r.tier) for r in every if r.tier in ("PERFECT_MATCH", "EXACT_MATCH", "CLOSE_MATCH")}
+    assert {(r.l_id, r.r_id, r.tier) for r in found.collect()} == near and found.count() == len(near) > 50
+    sums = {r.l_id: r for r in naming.sums(a, b, pairs, found).collect()}
+    assert set(sums) == {r.l_id for r in every}
+    for i, r in sums.items():
+        rest = [x.r_amount for x in every if x.l_id == i and x.tier not in S.EXACT]
+        known = [x for x in rest if x is not None]
+        assert (r.rest, r.rest_total) == (len(rest), sum(known) if known else None)
