@@ -16,7 +16,8 @@ Files go through Spark's own writer, whose commit keeps one copy of each task's
 whose file system is any that Spark knows. A segment is one line of that writer; the trailer is its line separator.
 
 Defined cases. A null text counts as empty; it has the end id alone. Rows are in ascending order of doc_id, null
-first, ties (repeated ids) by text. An empty table gives no rows. Other columns are not read. Texts of any length
+first, ties (repeated ids) by text; rows of one id, so all with a null one, are written by one task, a segment at a
+time. An empty table gives no rows. Other columns are not read. Texts of any length
 are encoded whole; a segment closes after SEGMENT_IDS ids, but always holds whole documents.
 """
 
