@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..storage import new_folder, settle
+from ..storage import new_folder
+from ..storage import written as settle
 
 __all__ = ["BATCH_ROWS", "new_folder", "settle", "small_batches", "unused"]
 

@@ -44,11 +44,16 @@ def _pieces(column: str, first: Column, last: Column, size: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(first, last), lambda i: F.substring(F.col(column), i, size)))
 
 
+def _hashed(column: str, first: Column, last: Column, size: Column) -> Column:
+    """The same as numbers, which take less room than text; names that meet by chance are told apart later."""
+    return F.array_distinct(F.transform(F.sequence(first, last), lambda i: F.xxhash64(size, F.substring(F.col(column), i, size))))
+
+
 def _grams(names: DataFrame, column: str, sizes: DataFrame) -> DataFrame:
     """(column, size, gram): all grams of the sizes (size) asked for."""
     every = names.select(column, F.explode(F.array(*[F.lit(n) for n in range(1, GRAM + 1)])).alias("size")).where(F.length(column) >= F.col("size"))
     asked = every.join(F.broadcast(sizes), "size", "left_semi")  # GRAM rows at most
-    return asked.select(column, "size", F.explode(_pieces(column, F.lit(1), F.length(column) - F.col("size") + 1, F.col("size"))).alias("gram"))
+    return asked.select(column, F.explode(_hashed(column, F.lit(1), F.length(column) - F.col("size") + 1, F.col("size"))).alias("gram"))
 
 
 def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -> DataFrame:
@@ -57,23 +62,25 @@ def _anchors(names: DataFrame, column: str, threshold: int, counts: DataFrame) -
     cut = cut.withColumn("width", F.floor(F.length(column) / F.col("parts")).cast("int"))
     stretch = cut.select(column, "size", "parts", "width", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     last = F.when(F.col("part") == F.col("parts") - 1, F.length(column)).otherwise((F.col("part") + 1) * F.col("width"))
-    grams = stretch.select(column, "size", "part", F.explode(_pieces(column, F.col("part") * F.col("width") + 1, last - F.col("size") + 1, F.col("size"))).alias("gram"))
-    rated = grams.join(counts, ["size", "gram"]).where(F.length(column) <= F.col("longest"))
-    return rated.groupBy(column, "size", "part").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram")).select(column, "size", "gram").distinct()
+    grams = stretch.select(column, "size", "part", F.explode(_hashed(column, F.col("part") * F.col("width") + 1, last - F.col("size") + 1, F.col("size"))).alias("gram"))
+    # the tables are larger than the files of names that they come from: none of them is for the driver to hold
+    rated = grams.hint("merge").join(counts.hint("merge"), "gram").where(F.length(column) <= F.col("longest"))
+    return rated.groupBy(column, "size", "part").agg(F.min_by("gram", "n").alias("gram")).select(column, "size", "gram")
 
 
 def _plausible(short: str, long: str, threshold: int) -> Column:
     """Whether the shorter name keeps enough of its grams: each differing letter spoils as many as a gram has letters."""
     size, broken = F.col("size"), _parts(short, threshold) - 1
     grams = lambda c: _pieces(c, F.lit(1), F.length(c) - size + 1, size)
-    return (F.length(short) <= F.length(long)) & (F.size(F.array_intersect(grams(short), grams(long))) >= F.size(grams(short)) - broken * size)
+    kept = F.size(F.array_intersect(grams(short), grams(long))) >= F.size(grams(short)) - broken * size
+    return (F.length(short) <= F.length(long)) & (F.contains(F.col(long), F.col(short)) | kept)
 
 
 def _by_grams(shorter: DataFrame, longer: DataFrame, short: str, long: str, threshold: int) -> DataFrame:
     """Candidates of which the first is the shorter name and keeps a stretch whole."""
     grams = _grams(longer, long, shorter.select(_size(short, threshold).alias("size")).distinct())
-    counts = grams.groupBy("size", "gram").agg(F.count(F.lit(1)).alias("n"), F.max(F.length(long)).alias("longest"))
-    met = _anchors(shorter, short, threshold, counts).join(grams, ["size", "gram"])
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max(F.length(long)).alias("longest"))
+    met = _anchors(shorter, short, threshold, counts).hint("merge").join(grams.hint("merge"), "gram")
     return met.where(_plausible(short, long, threshold)).select("l_name", "r_name")
 
 
@@ -82,12 +89,12 @@ def _by_ends(shorter: DataFrame, longer: DataFrame, short: str, long: str, thres
     n = F.length(short)
     asks = shorter.where(_errors(short, threshold) == 1)
     without = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(F.col(short), F.lit(1), i - 1), F.substring(F.col(short), i + 1, n)))
-    left = asks.select(short, F.explode(F.array_distinct(without)).alias("end"))
+    left = asks.select(short, F.explode(F.array_distinct(F.transform(without, lambda w: F.xxhash64(w)))).alias("end"))
     most = int(2 / (2 - 2 * (threshold - 0.5) / 100)) + 1  # from here on e is 2 or more
     lengths = longer.select(long, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("length")).where(F.length(long) > F.col("length"))
     asked = lengths.join(F.broadcast(asks.select((n - 1).alias("length")).distinct()), "length", "left_semi")  # `most` rows at most
-    ends = asked.select(long, F.substring(F.col(long), F.length(long) - F.col("length") + 1, F.col("length")).alias("end"))
-    return left.join(ends, "end").select("l_name", "r_name")
+    ends = asked.select(long, F.xxhash64(F.substring(F.col(long), F.length(long) - F.col("length") + 1, F.col("length"))).alias("end"))
+    return left.hint("merge").join(ends.hint("merge"), "end").select("l_name", "r_name")
 
 
 def alike(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:
@@ -99,7 +106,8 @@ def alike(left: DataFrame, right: DataFrame, threshold: int = 95) -> DataFrame:
         raise ValueError("names are compared from a threshold of 51 on")
     a = settle(left.where("name is not null").select(F.col("name").alias("l_name")).distinct())  # read many times below
     b = settle(right.where("name is not null").select(F.col("name").alias("r_name")).distinct())
-    pairs = a.join(b, F.col("l_name") == F.col("r_name")).select("l_name", "r_name")
+    pairs = a.hint("merge").join(b, F.col("l_name") == F.col("r_name")).select("l_name", "r_name")
     for find in (_by_grams, _by_ends):
         pairs = pairs.unionByName(find(a, b, "l_name", "r_name", threshold)).unionByName(find(b, a, "r_name", "l_name", threshold))
-    return pairs.distinct().withColumn("score", S.name_score(F.col("l_name"), F.col("r_name"))).where(F.col("score") >= threshold)
+    found = settle(pairs.distinct())  # else Spark scores before it makes the pairs distinct, and once more after it
+    return found.withColumn("score", S.name_score(F.col("l_name"), F.col("r_name"))).where(F.col("score") >= threshold)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Folders named below the shared one and not yet removed, by application.
 _made: dict[str, list[str]] = {}
+#: Bytes of compressed files up to which settle() lets Spark choose how to join.
+SMALL = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,12 +42,28 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
-def settle(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read from there."""
+    return _written(df)[0]
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = new_folder(spark, "settled")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """written(), never held whole by the driver for a join if its files are larger than SMALL.
+
+    Spark takes the size of files for that of their rows, which is ten or twenty times as large for names and ids.
+    """
+    rows, path = _written(df)
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    large = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength() > SMALL
+    return rows.hint("merge") if large else rows
 
 
 def remove(spark: SparkSession, path: str) -> None:
