@@ -33,3 +33,36 @@ def test_large_settled_tables_are_not_sent_to_the_driver(spark, monkeypatch):
     assert "Broadcast" not in plan(ids.join(large, "id")) and ids.join(large, "id").count() == 1000
     monkeypatch.setattr(storage, "SMALL", 10**9)
     assert "Broadcast" in plan(ids.join(storage.settle(ids), "id"))
+
+
+def plain_ratio(a, b):
+    """The published formula, every window of a block."""
+    if a in b:
+        return 100
+    best = 0.0
+    for block in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+        start = max(0, block.b - block.a)
+        ratio = difflib.SequenceMatcher(None, a, b[start : start + len(a)], autojunk=False).ratio()
+        if ratio > 0.995:
+            return 100
+        best = max(best, ratio)
+    return round(100 * best)
+
+
+def test_partial_ratio_stops_early_with_the_same_score():
+    rng = random.Random(8)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    for _ in range(4000):
+        a = text(rng.randint(1, 20), rng.choice(["AB", "ABCDEFGH"]))
+        k = rng.randrange(len(a))
+        b = rng.choice([text(rng.randint(0, 6), "AB") + a[:k] + a[k + 1 :], text(rng.randint(len(a), 30), "ABCD"), a[:k] + "X" + a[k + 1 :] + text(3, "AB")])
+        if len(a) <= len(b):
+            assert S._partial_ratio(a, b) == plain_ratio(a, b), (a, b)
+    a = text(150, "ABCDEFGHIJ")
+    assert S._partial_ratio(a, "MR " + a[:70] + a[71:]) == plain_ratio(a, "MR " + a[:70] + a[71:]) == 100
+
+
+def test_names_are_scored_once(spark):
+    a = spark.createDataFrame([(f"CUSTOMER {i:06d}",) for i in range(50)], "name string")
+    b = a.select(F.concat(F.lit("MR "), F.expr("left(name, length(name) - 1)")).alias("name"))
+    assert plan(names.alike(a, b)).count("ArrowEvalPython [") == 1
