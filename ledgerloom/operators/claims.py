@@ -22,7 +22,7 @@ class State:
 
     decisions: DataFrame  # l_id, status, reason, confidence, diff, total, total_stale, passes, resolved_in
     links: DataFrame  # l_id, r_id, status
-    fallback: DataFrame  # l_id, r_id
+    fallback: DataFrame  # r_id
 
 
 def start(left: DataFrame) -> State:
@@ -32,7 +32,7 @@ def start(left: DataFrame) -> State:
         F.lit(None).cast("decimal(28,2)").alias("total"), F.lit(False).alias("total_stale"), F.array().cast("array<string>").alias("passes"), F.lit(None).cast("string").alias("resolved_in"),
     )
     no_link = left.select("l_id", F.col("l_id").alias("r_id"), F.lit(NO).alias("status")).where("false")
-    return State(none, no_link, no_link.drop("status"))
+    return State(none, no_link, no_link.select("r_id"))
 
 
 def owners(offers: DataFrame, links: DataFrame) -> DataFrame:

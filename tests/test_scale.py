@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import storage
 from ledgerloom.functions import scalars as S
-from ledgerloom.operators import names
+from ledgerloom.operators import names, placing
 
 
 def plan(df):
@@ -66,3 +66,40 @@ def test_names_are_scored_once(spark):
     a = spark.createDataFrame([(f"CUSTOMER {i:06d}",) for i in range(50)], "name string")
     b = a.select(F.concat(F.lit("MR "), F.expr("left(name, length(name) - 1)")).alias("name"))
     assert plan(names.alike(a, b)).count("ArrowEvalPython [") == 1
+
+
+LEFT = "l_id long, placing_no string, tokens array<string>, name string, amount decimal(18,2)"
+RIGHT = "r_id long, placing_no string, policy_1 string, policy_2 string, name string, amount decimal(18,2)"
+
+
+def test_crowded_placing_numbers_get_what_all_pairs_give(spark):
+    """Singles, nearest rows, offers and fallback of numbers that many rows share, against every pair of rows."""
+    rng = random.Random(12)
+    amount = lambda most: None if rng.random() < 0.1 else Decimal(rng.randint(-most, most)) / 100
+    place = lambda: rng.choice(["A", "B", "C", "", None, "LONGNUMBER12", "LONGNUMBER12X"])
+    a = spark.createDataFrame([(i, place(), [], "N", amount(9000 if i % 2 else 400)) for i in range(150)], LEFT)
+    b = spark.createDataFrame([(i, place(), None, None, "N", amount(9000 if i % 3 else 300)) for i in range(1000, 1130)], RIGHT)
+    wide = spark.createDataFrame([(900, "D", [], "N", Decimal("-9999999999999999.99")), (901, "D", [], "N", Decimal("5.00")), (902, "D", [], "N", Decimal("5.00"))], LEFT)
+    a, b = a.unionByName(wide), b.unionByName(spark.createDataFrame([(2000 + i, "D", None, None, "N", Decimal("9999999999999999.98") if i else None) for i in range(4)], RIGHT))
+    every = placing.candidates(a, b, 1.005)
+    plain = placing.Found(every, None, 1.005)
+    quick = placing.find(a, b, 1.005, most=2)
+    assert quick.crowds is not None and quick.pairs.where("share is null").count() == 0
+    rows = lambda d, *c: sorted(map(repr, d.select(*c).collect()))
+    assert rows(quick.single(), "l_id", "r_id", "diff", "tier") == rows(placing.single(every), "l_id", "r_id", "diff", "tier")
+    for most in (2, 20):
+        best = placing.top(every, placing.single(every), most)
+        assert rows(placing.tops(quick, most), "l_id", "r_id", "l_amount", "r_amount", "place") == rows(best, "l_id", "r_id", "l_amount", "r_amount", "place")
+    assert rows(placing.combinations_of(quick), "l_id", "r_id") == rows(placing.combinations_of(plain), "l_id", "r_id")
+    for got, want in zip(placing.offers(quick), placing.offers(plain), strict=True):
+        assert rows(got, *got.columns) == rows(want, *got.columns) and got.count()
+
+
+def test_crowded_placing_numbers_make_no_pairs(spark):
+    """4,000 rows each of one placing number: 16 million pairs, of which 4,000 are wanted."""
+    a = spark.range(4000).selectExpr("id as l_id", "'P' as placing_no", "array('1') as tokens", "'N' as name", "cast(-id * 300 as decimal(18,2)) as amount")
+    b = spark.range(4000).selectExpr("id as r_id", "'P' as placing_no", "'1' as policy_1", "null as policy_2", "'N' as name", "cast(id * 300 as decimal(18,2)) as amount")
+    found = placing.find(a, b)
+    assert found.pairs.count() == 0
+    offers, links, fallback = placing.offers(found)
+    assert links.where("l_id = r_id").count() == links.count() == offers.count() == fallback.count() == 4000
