@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import storage
 from ledgerloom.functions import scalars as S
-from ledgerloom.operators import names, placing
+from ledgerloom.operators import names, placing, policy
 
 
 def plan(df):
@@ -103,3 +103,22 @@ def test_crowded_placing_numbers_make_no_pairs(spark):
     assert found.pairs.count() == 0
     offers, links, fallback = placing.offers(found)
     assert links.where("l_id = r_id").count() == links.count() == offers.count() == fallback.count() == 4000
+
+
+def test_crowded_policy_numbers_get_what_all_pairs_give(spark):
+    rng = random.Random(13)
+    name = lambda: rng.choice([None, *(f"{t}CUSTOMER NAME {i:02d}{u}" for i in range(30) for t in ("", "MR ") for u in ("", "X"))])
+    a = spark.createDataFrame([(i, None, [rng.choice(["1", "2", "3"]), "2"], name(), Decimal(1)) for i in range(80)], LEFT)
+    b = spark.createDataFrame([(i, None, rng.choice(["1", "2", None, ""]), rng.choice(["3", None]), name(), Decimal(1)) for i in range(80)], RIGHT)
+    rows = lambda d: sorted(map(tuple, d.select("l_id", "r_id", "score").collect()))
+    plain = rows(policy.hits(a, b, 95, most=10**6))
+    assert rows(policy.hits(a, b, 95, most=2)) == rows(policy.hits(a, b, 95, most=20)) == plain and plain
+
+
+def test_crowded_policy_numbers_compare_few_names(spark, monkeypatch):
+    a = spark.range(400).selectExpr("id as l_id", "'P' as placing_no", "array('1') as tokens", "concat('CUSTOMER NAME ', lpad(id * 37, 8, '0')) as name", "cast(1 as decimal(18,2)) as amount")
+    b = a.selectExpr("l_id as r_id", "placing_no", "'1' as policy_1", "null as policy_2", "name", "amount")
+    seen = []
+    monkeypatch.setattr(policy, "_scored", lambda mine, theirs, threshold, f=policy._scored: (seen.append(mine.join(theirs, "token").count()), f(mine, theirs, threshold))[1])
+    assert policy.hits(a, b).where("l_id = r_id").count() == 400
+    assert seen == [0]
