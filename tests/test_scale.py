@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom import storage
 from ledgerloom.functions import scalars as S
 from ledgerloom.operators import names, placing, policy
+from ledgerloom.plans.queries import QUERIES
 
 
 def plan(df):
@@ -122,3 +123,11 @@ def test_crowded_policy_numbers_compare_few_names(spark, monkeypatch):
     monkeypatch.setattr(policy, "_scored", lambda mine, theirs, threshold, f=policy._scored: (seen.append(mine.join(theirs, "token").count()), f(mine, theirs, threshold))[1])
     assert policy.hits(a, b).where("l_id = r_id").count() == 400
     assert seen == [0]
+
+
+def test_keys_of_large_ids_are_plain_numbers(spark, tmp_path):
+    spark.createDataFrame([(i, 1, 10.0) for i in (1, 2000000, 2000001, 9000001, 400000000)], "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "C")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r.r_id: r.key for r in QUERIES["normalize_key"](spark, str(tmp_path)).collect()}
+    assert got[20000000] == "10001#10000000" and got[4000000000] == "10001#2000000000" and got[10] == "10001#5"
+    assert not [k for k in got.values() if "E" in k]
