@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches, unused
+from .shared import held, small_batches, unused
 
 # White space of the tokenizers library's \s, and the pattern that splits text before merging.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -247,9 +246,8 @@ class SegmentTreeBPE:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def _codec(spec: str) -> SegmentTreeBPE:
-    return SegmentTreeBPE(spec)
+    return held(("bpe", spec), lambda: SegmentTreeBPE(spec))
 
 
 def load_spec(path: str) -> str:

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small_batches, unused
+from .shared import small_batches, tidy, unused
 
 #: Documents that training reads at most: per language, and of all languages together. Buckets of n-grams.
 SAMPLE, SAMPLE_ALL, BUCKETS = 250, 4_000, 1 << 14
@@ -174,6 +174,7 @@ def fit(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text"
         return Codes([], np.zeros((0, BUCKETS)), np.zeros(0, dtype=int))
 
     def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tidy()
         for part in parts:
             found = [counts(plain(t)) for t in part["text"]]
             yield pd.DataFrame({"lang": part["lang"], "at": [a.astype("<u2").tobytes() for a, _ in found], "n": [n.astype("<f4").tobytes() for _, n in found]})
@@ -197,6 +198,7 @@ def identify(df: DataFrame, model: Codes, text: str = "text", out: str = "langua
 
     @F.pandas_udf("lang string, score double, ambiguous boolean")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tidy()
         for texts in parts:
             yield model.predict(texts.tolist())
 

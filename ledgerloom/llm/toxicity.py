@@ -31,6 +31,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches, unused
+from .shared import small_batches, tidy, unused
 
 #: Examples of each label, neighbours, examples in a block of postings.
 SAMPLE, K, BLOCK = 2_000, 15, 64
@@ -188,7 +189,7 @@ class Words(dict):
         for word in terms:
             if not word.endswith("*"):
                 self[word]  # noqa: B018
-        self.vocabulary = dict(self), self.flat.tobytes()
+        self.vocabulary = len(self), len(self.flat)
 
     def __missing__(self, word: str) -> int:
         get = self.terms.get
@@ -206,19 +207,21 @@ class Words(dict):
         return np.frombuffer(self.flat, dtype=np.int32).reshape(-1, 4)[numbers]
 
     def forget(self) -> None:
-        """Keep the vocabulary alone."""
-        self.clear()
-        self.update(self.vocabulary[0])
-        self.flat = array("i", self.vocabulary[1])
+        """Keep the vocabulary alone, whose words came first."""
+        while len(self) > self.vocabulary[0]:
+            self.popitem()
+        self.flat = self.flat[: self.vocabulary[1]]
 
     def __reduce__(self):
-        return Words._of, (self.terms, self.vocabulary)
+        words, numbers = self.vocabulary
+        return Words._of, (self.terms, dict(islice(self.items(), words)), self.flat[:numbers].tobytes())
 
     @classmethod
-    def _of(cls, terms: dict[str, int], vocabulary: tuple[dict[str, int], bytes]) -> Words:
+    def _of(cls, terms: dict[str, int], words: dict[str, int], flat: bytes) -> Words:
         out = cls.__new__(cls)
-        out.terms, out.vocabulary = terms, vocabulary
-        out.forget()
+        out.update(words)
+        out.terms, out.flat = terms, array("i", flat)
+        out.vocabulary = len(out), len(out.flat)
         return out
 
 
@@ -320,15 +323,17 @@ def gains(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_clean: int)
 def _document_frequencies(docs: DataFrame, chosen: list[str]) -> np.ndarray:
     """In how many rows of docs (text) each term is: every task counts on its own, the counts are summed by slot."""
     counter = Model(chosen, np.ones(len(chosen)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [])
-    edges = np.linspace(0, len(chosen), SLOTS + 1).astype(np.int64)
+    size, sent = len(chosen), docs.sparkSession.sparkContext.broadcast(counter)
+    edges = np.linspace(0, size, SLOTS + 1).astype(np.int64)
     packed = lambda n: {"at": np.flatnonzero(n).astype("<u4").tobytes(), "n": n[n > 0].astype("<i8").tobytes()}
 
     def of_task(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df = np.zeros(len(chosen), dtype=np.int64)
+        tidy()
+        counter, df = sent.value, np.zeros(size, dtype=np.int64)
         for part in parts:
             texts, first = part["text"].tolist(), 0
             for last in _cuts(texts):
-                df += np.bincount(counter.counts(texts[first:last])[1], minlength=len(chosen))
+                df += np.bincount(counter.counts(texts[first:last])[1], minlength=size)
                 first = last
         yield pd.DataFrame([{"slot": k} | packed(df[edges[k] : edges[k + 1]]) for k in range(SLOTS) if df[edges[k] : edges[k + 1]].any()], columns=["slot", "at", "n"])
 
@@ -340,7 +345,7 @@ def _document_frequencies(docs: DataFrame, chosen: list[str]) -> np.ndarray:
         return pd.DataFrame([{"slot": slot} | packed(df)])
 
     form = "slot int, at binary, n binary"
-    out = np.zeros(len(chosen), dtype=np.int64)
+    out = np.zeros(size, dtype=np.int64)
     for r in docs.select("text").mapInPandas(of_task, form).groupBy("slot").applyInPandas(summed, form).collect():
         out[edges[r["slot"]] + np.frombuffer(r["at"], "<u4").astype(np.int64)] = np.frombuffer(r["n"], "<i8")
     return out
@@ -369,6 +374,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     examples = examples.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def own_terms(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tidy()
         for part in parts:
             found = [terms(t) for t in part["text"]]
             yield pd.DataFrame({"doc_id": part["doc_id"], "toxic": part["toxic"], "terms": [" ".join(f) for f in found], "n": [np.array(list(f.values()), dtype="<i4").tobytes() for f in found]})
@@ -397,11 +403,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """df with the struct `out`: score, predicted (1 from TOXIC_FROM on) and evidence."""
     small_batches(df.sparkSession)
+    # a worker unpickles it once, not for every task, and lets it go when a stage without it comes
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
     form = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])))])
 
     @F.arrow_udf("score double, evidence array<struct<doc_id: long, cosine: double, label: int>>")
     def predict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tidy()
+        model = sent.value
         for part in parts:
             scores, row, docs, cosine = model.score(part.to_pylist())
             near = pa.StructArray.from_arrays([pa.array(model.index.ids[docs]), pa.array(cosine), pa.array(model.labels[docs], pa.int32())], fields=list(form[1].type.value_type))

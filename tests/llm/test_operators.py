@@ -1,8 +1,10 @@
 """Operators against brute force, exact round trips and held-out accuracy, and their defined cases."""
 
 import hashlib
+import pickle
 import random
 import re
+import weakref
 import zlib
 from functools import reduce
 
@@ -11,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, itq, jaccard_join, language_id, mixing, sharding, simple8b, toxicity, vptree, warc
+from ledgerloom.llm import bpe, itq, jaccard_join, language_id, mixing, sharding, shared, simple8b, toxicity, vptree, warc
 from ledgerloom.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, vertex long"
@@ -573,3 +575,33 @@ def test_tokens_of_all_kinds_of_characters():
     own = simple8b.WordTokenizer(bpe.load_spec(word))
     want = [e.ids for e in Tokenizer.from_file(word).encode_batch(texts, add_special_tokens=False)]
     assert [own.encode(t).tolist() for t in texts] == want
+
+
+def test_workers_keep_one_model(spark):
+    """A codec goes when a stage that needs none begins; a model is sent once and isn't part of what every task unpickles."""
+    spec = bpe.load_spec(public_tokenizers.path("byte_bpe_50k.json"))
+    codec = bpe._codec(spec)
+    assert bpe._codec(spec) is codec
+    codec = weakref.ref(codec)
+    shared.tidy()
+    assert codec() is None
+    docs = documents(spark, [f"some words of text {i} and a few more" for i in range(8)])
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i < 2)) for i in range(8)], "doc_id long, toxic int"), F.lit(True))
+    sizes = []
+    send = type(spark.sparkContext).broadcast
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: (sizes.append(type(value)), send(sc, value))[1])
+        assert len(toxicity.score(docs, model).collect()) == 8
+    assert sizes == [toxicity.Model]
+
+
+def test_words_that_are_forgotten_leave_the_vocabulary():
+    own = {"alpha": 0, "alphab*": 1, "beta": 2, "alpha*": 3}
+    words = toxicity.Words(own)
+    first = dict(words), words.flat.tobytes()
+    for _ in range(2):
+        assert words["alphabet"] and words["gamma"] == 0 and len(words) == len(first[0]) + 2
+        again = pickle.loads(pickle.dumps(words))
+        assert (dict(again), again.flat.tobytes()) == first and again["alphabet"] == words["alphabet"]
+        words.forget()
+        assert (dict(words), words.flat.tobytes()) == first and not [x for x in vars(words).values() if isinstance(x, dict) and x is not own]
