@@ -16,13 +16,48 @@ from ..storage import settle
 NO, PARTIAL, EXACT = "No Match", "Partial Match", "Exact Match"
 
 
+@dataclass(frozen=True)
+class Shared:
+    """Links that many left rows have alike: those of one, the lead, stand for those of all its members."""
+
+    members: DataFrame  # l_id, lead
+    links: DataFrame  # lead, r_id
+
+    def listed(self) -> DataFrame:
+        """(l_id, r_id) one by one: as many rows as members times links."""
+        return self.members.join(self.links, "lead").select("l_id", "r_id")
+
+    def holders(self) -> DataFrame:
+        """(l_id) of members whose lead has links."""
+        return self.members.join(self.links, "lead", "left_semi").select("l_id")
+
+    def used(self) -> DataFrame:
+        """(r_id) of links whose lead has members."""
+        return self.links.join(self.members, "lead", "left_semi").select("r_id")
+
+    def without(self, taken: DataFrame) -> Shared:
+        """The same without right rows that are in taken (r_id)."""
+        return Shared(self.members, self.links.join(taken, "r_id", "left_anti").select("lead", "r_id"))
+
+
 @dataclass(frozen=True)
 class State:
     """Decisions and links after a pass; both immutable, written anew by every pass."""
 
     decisions: DataFrame  # l_id, status, reason, confidence, diff, total, total_stale, passes, resolved_in
-    links: DataFrame  # l_id, r_id, status
+    own: DataFrame  # l_id, r_id, status: links one by one
     fallback: DataFrame  # r_id
+    shared: Shared | None = None  # partial links of left rows without own ones
+
+    @property
+    def links(self) -> DataFrame:
+        """(l_id, r_id, status) of all links one by one."""
+        return self.own if self.shared is None else self.own.unionByName(self.shared.listed().withColumn("status", F.lit(PARTIAL)))
+
+    def loosely_used(self) -> DataFrame:
+        """(r_id) of right rows in a partial match."""
+        mine = self.own.where(F.col("status") == PARTIAL).select("r_id")
+        return (mine if self.shared is None else mine.unionByName(self.shared.used())).distinct()
 
 
 def start(left: DataFrame) -> State:
@@ -50,18 +85,26 @@ def contested(links: DataFrame) -> DataFrame:
     return links.groupBy("r_id").agg(F.count_distinct("l_id").alias("claimants")).where("claimants > 1")
 
 
-def apply(state: State, offers: DataFrame, links: DataFrame, right: DataFrame, tried: DataFrame, name: str, fallback: DataFrame | None = None) -> State:
-    """The state after a pass. tried: l_id of the rows that the pass looked at.
+def apply(state: State, offers: DataFrame, links: DataFrame, right: DataFrame, tried: DataFrame, name: str, fallback: DataFrame | None = None, shared: Shared | None = None) -> State:
+    """The state after a pass. tried: l_id of the rows that the pass looked at. shared: links of partial offers that aren't in links.
 
     Exact offers take the rows that no earlier pass and no offer of lower rank has; partial ones those that aren't
     exact-claimed. An offer left without rows is No Match. Rows newly claimed leave the partial matches of others.
     """
-    taken = state.links.where(F.col("status") == EXACT).select("r_id")
+    if shared is not None and state.shared is not None:
+        state = State(state.decisions, settle(state.links), state.fallback)  # leads of two passes may be the same rows
+    taken = state.own.where(F.col("status") == EXACT).select("r_id")
     free = links.join(taken, "r_id", "left_anti")
     sure = owners(offers, free).withColumn("status", F.lit(EXACT))
     loose = free.join(offers.where("kind = 2").select("l_id"), "l_id", "left_semi").join(sure.select("r_id"), "r_id", "left_anti").select("l_id", "r_id", F.lit(PARTIAL).alias("status"))
     fresh = settle(sure.unionByName(loose))
-    sums = fresh.join(right.select("r_id", "amount"), "r_id").groupBy("l_id").agg(F.count(F.lit(1)).alias("got"), F.sum("amount").alias("sum"))
+    newly = fresh.where(F.col("status") == EXACT).select("r_id").distinct()
+    got = lambda rows, key: rows.join(right.select("r_id", "amount"), "r_id").groupBy(key).agg(F.count(F.lit(1)).alias("got"), F.sum("amount").alias("sum"))
+    sums = got(fresh, "l_id")
+    if shared is not None:
+        open_ = shared.without(taken.unionByName(newly))
+        shared = Shared(settle(shared.members), settle(open_.links))
+        sums = sums.unionByName(shared.members.join(got(shared.links, "lead"), "lead").select("l_id", "got", "sum"))
     made = offers.join(sums, "l_id", "left").select(
         "l_id",
         F.when(F.col("got").isNull(), NO).when(F.col("kind") < 2, EXACT).otherwise(PARTIAL).alias("n_status"),
@@ -71,10 +114,16 @@ def apply(state: State, offers: DataFrame, links: DataFrame, right: DataFrame, t
         F.col("sum").cast("decimal(28,2)").alias("n_total"),
         F.coalesce(F.col("got") < F.col("size"), F.lit(False)).alias("n_stale"),
     )
-    old = state.links.join(offers.select("l_id"), "l_id", "left_anti")
-    newly = fresh.where(F.col("status") == EXACT).select("r_id").distinct().withColumn("gone", F.lit(True))
-    kept = settle(old.join(newly, "r_id", "left").withColumn("gone", F.coalesce(F.col("gone") & (F.col("status") == PARTIAL), F.lit(False))))
-    lost = kept.groupBy("l_id").agg(F.count_if("gone").alias("lost"), F.count_if(~F.col("gone")).alias("left_over")).where("lost > 0")
+    old = state.own.join(offers.select("l_id"), "l_id", "left_anti")
+    marked = lambda rows, status: rows.join(newly.withColumn("gone", F.lit(True)), "r_id", "left").withColumn("gone", F.coalesce(F.col("gone") & (status == PARTIAL), F.lit(False)))
+    counted = lambda rows, key: rows.groupBy(key).agg(F.count_if("gone").alias("lost"), F.count_if(~F.col("gone")).alias("left_over")).where("lost > 0")
+    kept = settle(marked(old, F.col("status")))
+    lost = counted(kept, "l_id")
+    if state.shared is not None:
+        members = settle(state.shared.members.join(offers.select("l_id"), "l_id", "left_anti"))
+        theirs = settle(marked(state.shared.links, F.lit(PARTIAL)))
+        lost = lost.unionByName(members.join(counted(theirs, "lead"), "lead").select(lost.columns))
+        shared = Shared(members, theirs.where("not gone").select("lead", "r_id"))
     seen = tried.select("l_id").distinct().withColumn("seen", F.lit(True))
     now = state.decisions.join(made, "l_id", "left").join(lost, "l_id", "left").join(seen, "l_id", "left")
     new, robbed = F.col("n_status").isNotNull(), F.col("lost").isNotNull()
@@ -93,7 +142,7 @@ def apply(state: State, offers: DataFrame, links: DataFrame, right: DataFrame, t
     )
     after = settle(fresh.unionByName(kept.where("not gone").select("l_id", "r_id", "status")))
     spare = state.fallback if fallback is None else state.fallback.unionByName(fallback)
-    return State(settle(decisions), after, settle(spare))
+    return State(settle(decisions), after, settle(spare), shared)
 
 
 def usage(state: State) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..storage import settle
 from . import names
-from .claims import PARTIAL, State
+from .claims import State
 
 #: A policy number that more names of both sides have is crowded: its names aren't compared one by one.
 CROWD = 32
@@ -18,8 +18,7 @@ def pool(state: State, right: DataFrame, whole: bool = False) -> DataFrame:
     """Right rows that were some left row's fallback and aren't in a partial match; all right rows with `whole`."""
     if whole:
         return right
-    busy = state.links.where(F.col("status") == PARTIAL).select("r_id").distinct()
-    ids = state.fallback.select("r_id").distinct().join(busy, "r_id", "left_anti")
+    ids = state.fallback.select("r_id").distinct().join(state.loosely_used(), "r_id", "left_anti")
     return right.join(ids, "r_id", "left_semi")
 
 

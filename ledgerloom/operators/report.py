@@ -25,10 +25,15 @@ SHEETS = [
 
 def final_decisions(state: State) -> tuple[DataFrame, DataFrame]:
     """(decisions, links) after the last correction: rows claimed exactly leave partial matches, empty ones are none."""
-    exact = state.links.where(F.col("status") == EXACT)
-    loose = state.links.where(F.col("status") == PARTIAL).join(exact.select("r_id"), "r_id", "left_anti")
+    exact = state.own.where(F.col("status") == EXACT)
+    loose = state.own.where(F.col("status") == PARTIAL).join(exact.select("r_id"), "r_id", "left_anti")
     links = exact.unionByName(loose.select(*exact.columns))
-    has = links.select("l_id").distinct().withColumn("has", F.lit(True))
+    has = links.select("l_id")
+    if state.shared is not None:
+        shared = state.shared.without(exact.select("r_id"))
+        links = links.unionByName(shared.listed().withColumn("status", F.lit(PARTIAL)))
+        has = has.unionByName(shared.holders())
+    has = has.distinct().withColumn("has", F.lit(True))
     none = (F.col("status") == PARTIAL) & F.col("has").isNull()
     decisions = state.decisions.join(has, "l_id", "left").withColumn("status", F.when(none, NO).otherwise(F.col("status"))).drop("has")
     return decisions, links

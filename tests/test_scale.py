@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom import storage
 from ledgerloom.functions import scalars as S
-from ledgerloom.operators import names, placing, policy
+from ledgerloom.operators import claims, names, placing, policy, report
+from ledgerloom.plans import reconcile
 from ledgerloom.plans.queries import QUERIES
 
 
@@ -131,3 +132,41 @@ def test_keys_of_large_ids_are_plain_numbers(spark, tmp_path):
     got = {r.r_id: r.key for r in QUERIES["normalize_key"](spark, str(tmp_path)).collect()}
     assert got[20000000] == "10001#10000000" and got[4000000000] == "10001#2000000000" and got[10] == "10001#5"
     assert not [k for k in got.values() if "E" in k]
+
+
+def _contending(spark, rng):
+    """Ledgers of few placing numbers and amounts, so that many rows of equal amount have the same partial matches."""
+    pick = lambda *values: rng.choice(values)
+    amount = lambda *values: None if rng.random() < 0.1 else Decimal(rng.choice(values))
+    name = lambda: pick(None, *(f"CUSTOMER NAME {i:02d}" for i in range(60)))
+    a = spark.createDataFrame([(i, pick("A", "A", "B", "B", "LONGNUMBER12", None), [pick("1", "2")], name(), amount(-1000, -1100, -1720, -2300, -3450, -5000)) for i in range(240)], LEFT)
+    b = spark.createDataFrame([(i, pick("A", "A", "B", "B", "LONGNUMBER12X", None), pick("1", "2", None), None, name(), amount(1700, 1800, 5050)) for i in range(1000, 1240)], RIGHT)
+    return storage.settle(a), storage.settle(b)
+
+
+def test_partial_links_are_listed_once_for_rows_alike(spark, monkeypatch):
+    """Every pass gives what it gives where each left row's candidates are listed one by one."""
+    a, b = _contending(spark, random.Random(21))
+    rows = lambda d: sorted(map(repr, d.select(sorted(d.columns)).collect()))
+    find, profile = placing.find, reconcile.Profile(whole_pool=True)
+    quick = reconcile.reconcile(a, b, profile)
+    monkeypatch.setattr(placing, "find", lambda x, y, t: find(x, y, t, most=10**6))
+    plain = reconcile.reconcile(a, b, profile)
+    assert plain.shared is None and quick.shared.listed().count() > quick.shared.links.count() > 0
+    assert quick.own.join(quick.shared.listed(), ["l_id", "r_id"]).isEmpty()
+    assert rows(quick.decisions) == rows(plain.decisions)
+    assert rows(quick.links) == rows(plain.links) and rows(quick.fallback.distinct()) == rows(plain.fallback.distinct())
+    assert rows(claims.usage(quick)) == rows(claims.usage(plain)) and rows(policy.pool(quick, b)) == rows(policy.pool(plain, b))
+    for got, want in zip(report.final_decisions(quick), report.final_decisions(plain), strict=True):
+        assert rows(got) == rows(want)
+    assert quick.decisions.where("status = 'Partial Match' and resolved_in = '1' and total_stale").count()
+
+
+def test_rows_alike_do_not_multiply_partial_links(spark):
+    """1,000 left rows with the same 500 partial matches: 500,000 links, of which 500 are written."""
+    a = spark.range(1000).selectExpr("id as l_id", "'P' as placing_no", "array('1') as tokens", "'N' as name", "cast(-1000 as decimal(18,2)) as amount")
+    b = spark.range(500).selectExpr("id as r_id", "'P' as placing_no", "'1' as policy_1", "null as policy_2", "'N' as name", "cast(1700 as decimal(18,2)) as amount")
+    state = reconcile.reconcile(a, b, reconcile.Profile(passes=("1",)))
+    assert state.own.isEmpty() and state.shared.links.count() == 500 and state.links.count() == 500_000
+    decisions, links = report.final_decisions(state)
+    assert decisions.where("status = 'Partial Match'").count() == 1000 and links.count() == 500_000
