@@ -170,3 +170,13 @@ def test_rows_alike_do_not_multiply_partial_links(spark):
     assert state.own.isEmpty() and state.shared.links.count() == 500 and state.links.count() == 500_000
     decisions, links = report.final_decisions(state)
     assert decisions.where("status = 'Partial Match'").count() == 1000 and links.count() == 500_000
+
+
+def test_passes_tried_does_not_run_the_last_pass(spark, monkeypatch):
+    rows = [(1, "P", ["1"], "A", Decimal(-100)), (2, "P", ["1"], "B", Decimal(-900)), (3, None, ["2"], "C", Decimal(-500)), (4, "P", [], None, None)]
+    a = spark.createDataFrame(rows, LEFT)
+    b = spark.createDataFrame([(10, "P", "1", None, "A", Decimal(100)), (11, None, "2", None, "C", Decimal(500))], RIGHT)
+    profile = reconcile.Profile(passes=("1", "2"))
+    whole = {tuple([r.l_id, *r.passes]) for r in reconcile.reconcile(a, b, profile).decisions.collect()}
+    monkeypatch.setattr(policy, "hits", lambda *_: 1 / 0)
+    assert {tuple([r.l_id, *r.passes]) for r in reconcile.tried(a, b, profile).collect()} == whole == {(1, "1"), (2, "1", "2"), (3, "1", "2"), (4, "1", "2")}
