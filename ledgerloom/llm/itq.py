@@ -9,7 +9,9 @@
 4. Within a group every two vectors are compared once more by cosine, for the exact number of links.
 
 Equal vectors are one vertex. Large buckets and groups are cut into cells (see cells.py), so no group is ever in one
-task and no list of pairs is made.
+task and no list of pairs is made. Spark doesn't see how many rows a substring's buckets make of a vector, so that table
+and the vectors are joined by sorting, whatever their size seems to be: the driver never holds them. Of the sample, it
+gets few more rows than it keeps.
 
 At a cosine of 0.95 a bit differs with a probability of about 0.1. Substrings have as many bits as the number of vectors
 (16 at least, 32 at most), so buckets don't grow with the table, and there are as many tables as find a pair at the
@@ -32,9 +34,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import settle
 from . import cells
 from .components import classes, components
-from .shared import settle
 
 COSINE = 0.95
 #: Probability that a pair at the threshold shares a bucket. Bits of a substring at least and at most.
@@ -125,7 +127,7 @@ def _met(vertices: DataFrame, width: int, radius: int) -> DataFrame:
     """(bucket, vertex) of the vertices that have another one within the radius in that bucket."""
     masks = F.array(*[F.lit(m).cast("long") for m in (0, *(1 << k for k in range(width)))])
     keys = F.transform("parts", lambda p, t: F.transform(masks, lambda m: p.bitwiseXOR(m).bitwiseOR(F.shiftleft(t.cast("long"), 40))))
-    keyed = vertices.select("vertex", "code", F.explode(F.flatten(keys)).alias("bucket"))
+    keyed = vertices.select("vertex", "code", F.explode(F.flatten(keys)).alias("bucket")).hint("merge")
     held = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     dealt = cells.deal(keyed.join(held, "bucket"), "bucket", "vertex", F.ceil(F.col("members") / BUCKET_BLOCK))
 
@@ -191,11 +193,22 @@ def _verified(members: DataFrame, cosine: float) -> DataFrame:
     return members.mapInArrow(compare, "vertex long, links long, a long, b long")
 
 
+def _sample(good: DataFrame, most: int = SAMPLE) -> list[list[float]]:
+    """The vectors of least hash, at most so many. Every partition would send its own ones to the driver, so those of hashes
+    that are most likely too large stay behind first."""
+    hashed = good.select(F.xxhash64("vec_id").alias("h"), "vector")
+    n = good.count()
+    below = int((most + 10 * sqrt(most)) / max(n, 1) * (1 << 64)) - (1 << 63)
+    least = lambda rows: rows.orderBy("h", F.xxhash64("vector")).select("vector").limit(most).toPandas()["vector"].tolist()
+    found = least(hashed.where(F.col("h") < below)) if below < 1 << 63 else []
+    return found if len(found) == most else least(hashed)
+
+
 def near_duplicates(df: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Per row of df: vec_id, n_links, component_id and kept."""
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("vector"))
     good = rows.where(usable("vector"))
-    sample = good.select("vector").orderBy(F.xxhash64("vec_id"), F.xxhash64("vector")).limit(SAMPLE).toPandas()["vector"].tolist()
+    sample = _sample(good)
     if not sample:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     lengths, counts = np.unique([len(v) for v in sample], return_counts=True)
@@ -206,7 +219,7 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id
 
     prints = settle(_prints(own, size, mean, projection, tables, width))
     named = settle(prints.groupBy("vertex").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("code").alias("code"), F.min("parts").alias("parts")))
-    raw = prints.join(named.select("vertex", F.col("rep").alias("vec_id")), ["vertex", "vec_id"]).select("vertex", "raw").dropDuplicates(["vertex"])
+    raw = prints.join(named.select("vertex", F.col("rep").alias("vec_id")), ["vertex", "vec_id"]).select("vertex", "raw").dropDuplicates(["vertex"]).hint("merge")
     met = settle(_met(named, width, radius))
     held = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     near = components(_edges(met.join(held, "bucket").join(raw, "vertex"), cosine))

@@ -487,6 +487,26 @@ def test_hamming_tables_meet_near_vectors_at_any_size(n):
     assert a.shape[1] * 64 == bits >= tables * width and 2 ** (width + 1) > min(n, 2**32)
 
 
+def test_buckets_of_vectors_are_not_sent_to_the_driver(spark):
+    """A vector has many more rows in buckets than its codes' size tells Spark, which would broadcast them."""
+    x = np.random.default_rng(8).standard_normal((400, 16)).astype(np.float32)
+    mean, projection = itq.learn(x)
+    parts = itq.substrings(itq.encode(x, mean, projection), 4, 16)
+    rows = [(i, bytes(8), p) for i, p in enumerate(parts.tolist())]
+    vertices = shared.settle(spark.createDataFrame(rows, "vertex long, code binary, parts array<long>"))
+    met = itq._met(vertices, 16, 64)
+    assert {r.vertex for r in met.collect()} == {i for i, p in enumerate(parts) if (np.bitwise_count(np.delete(parts, i, axis=0) ^ p) <= 2).any()}
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_of_vectors_is_that_of_least_hash(spark):
+    rows = [(i % 900, [float(i)]) for i in range(1000)]
+    for most, ids in ((20, rows), (20, [(7, v) for _, v in rows]), (2000, rows)):  # ids of one hash: all of them may seem too large
+        good = spark.createDataFrame(ids, "vec_id long, vector array<float>").repartition(8)
+        want = good.orderBy(F.xxhash64("vec_id"), F.xxhash64("vector")).limit(most).collect()
+        assert itq._sample(good, most) == [r.vector for r in want]
+
+
 def test_names_of_columns_never_clash(spark):
     """Columns called like those that operators add for a while come back as they were."""
     names = ["mix_size", "mix_rate", "copy", "mixed", "bpe", "language", "toxicity", "keep_n", "_mix_size", "_toxicity"]
